@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 HOT_ROWS = 100_000
 CHUNK_WIDTH = 4_096
@@ -174,7 +174,9 @@ def _chunk_starts(hot, keys, order_by, fan_in: int, levels: int) -> DataFrame:
     fn_schema = StructType(
         key_fields
         + [StructField("_chunk", LongType()), StructField("_opening", LongType())]
-    ).add("_low", "array<bigint>").add("_shift", "array<bigint>")
+    )
+    for c in ("_low", "_shift"):
+        fn_schema = fn_schema.add(c, ArrayType(LongType()))
     start_schema = StructType(
         key_fields + [StructField("_chunk", LongType()), StructField("_held", LongType())]
     )

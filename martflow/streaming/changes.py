@@ -105,10 +105,19 @@ def decode_changes(messages: DataFrame, value: str = "value") -> DataFrame:
 def without_replays(
     stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day"
 ) -> DataFrame:
-    """Drop messages sent again within the delay; state older than that is forgotten."""
+    """Drop messages sent again within the delay.
+
+    For live feeds: a message more than ``delay`` behind the newest one is dropped as late.
+    Backfills of unordered files go through ``unique_changes`` on the stored table instead.
+    """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def unique_changes(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per message key of a stored table, however often a message was sent."""
+    return stored.dropDuplicates(list(keys))
+
+
 def to_table(
     stream: DataFrame,
     path: str,
@@ -167,7 +176,8 @@ def start(writer, checkpoint: str, until_done: bool, every: str) -> StreamingQue
     return writer.start()
 
 
-def stop(query: StreamingQuery, timeout_seconds: int = 60) -> None:
-    """Let the running batch finish if it can, then stop."""
-    query.awaitTermination(timeout_seconds) if not query.isActive else None
+def stop(query: StreamingQuery) -> None:
+    """Stop a query; an error it ended with is raised here instead of being lost."""
     query.stop()
+    if query.exception():
+        raise query.exception()
