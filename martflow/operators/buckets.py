@@ -24,8 +24,12 @@ def bucket_of(df: DataFrame, name: str, width: int) -> Column:
         position = f"`{name}`"
     elif isinstance(kind, DateType):
         position = f"unix_date(`{name}`)"
-    elif isinstance(kind, (TimestampType, TimestampNTZType)):
-        position = f"unix_seconds(cast(`{name}` as timestamp))"
+    elif isinstance(kind, TimestampType):
+        position = f"unix_seconds(`{name}`)"
+    elif isinstance(kind, TimestampNTZType):
+        # Wall-clock seconds: a detour over a zone could step back when clocks change.
+        clock = f"hour(`{name}`) * 3600 + minute(`{name}`) * 60 + cast(second(`{name}`) as bigint)"
+        position = f"cast(unix_date(cast(`{name}` as date)) as bigint) * 86400 + {clock}"
     else:
         raise TypeError(f"no bucket rule for {name}: {kind.simpleString()}")
     return F.expr(f"({position}) div {int(width)}")
@@ -74,7 +78,9 @@ def forward_fill(
     key = F.struct(*(partition_by or [F.lit(0).alias("all")]))
     marked = df.select("*", key.alias("_k"), F.struct(bucket.alias("b")).alias("_b"))
 
-    known = F.when(F.col(value).isNotNull(), F.struct(*order_by))
+    # A single order column keeps the aggregate hash based; a struct would be sorted.
+    position = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
+    known = F.when(F.col(value).isNotNull(), position)
     earlier = (
         Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martflow.functions.dates import leading_date
 from martflow.functions.missing import SENTINELS, blank_to_null
 from martflow.operators.buckets import bucket_of, forward_fill
+from martflow.session import materialize
 
 
 def clean_drop(df: DataFrame, sentinels: Sequence[str] = SENTINELS) -> DataFrame:
@@ -124,9 +125,16 @@ def merge_increment(
     increment: DataFrame,
     clean: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Clean the increment, append it to the history by column name, clean the whole."""
+    """Clean the increment, append it to the history by column name, clean the whole.
+
+    The cleaned increment is stored first: the second cleaning reads it several times (for
+    means, modes and dates), and each reading would repeat the first cleaning.
+    """
     part = clean(increment)
-    part = part.select(
-        *[F.col(c).cast(history.schema[c].dataType).alias(c) for c in history.columns]
+    part = materialize(
+        part.select(
+            *[F.col(c).cast(history.schema[c].dataType).alias(c) for c in history.columns]
+        ),
+        "increment",
     )
     return clean(history.unionByName(part))

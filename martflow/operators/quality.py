@@ -104,8 +104,13 @@ def check_constraints(
     comparison as one row per task.
     """
     results = []
-    for c in not_null:
-        results.append(_violations(df.agg(F.count_if(F.col(c).isNull()).alias("v")), "not_null", c))
+    if not_null:
+        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
+        cells = [
+            F.struct(F.lit("not_null").alias("constraint"), F.lit(c).alias("column"), F.col(c).alias("violations"))
+            for c in not_null
+        ]
+        results.append(row.select(F.inline(F.array(*cells))))
     for columns in unique:
         extra = (
             df.dropna(subset=list(columns))

@@ -11,7 +11,8 @@ cut into consecutive chunks, worked on in parallel:
    then the known start quantity is handed down the same tree to each chunk.
 3. With its start quantity known, a chunk is settled like a key of its own.
 
-The answers are exactly those of settling the key from front to back.
+The answers are exactly those of settling the key from front to back. The hot keys are
+looked up when the operator is called; only if there are any does the plan hold step 1-3.
 """
 
 from __future__ import annotations
@@ -25,10 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
+from martflow.operators.buckets import bucket_of
+from martflow.session import materialize
+
 HOT_ROWS = 100_000
 CHUNK_WIDTH = 4_096
-FAN_IN = 256
-LEVELS = 3
+FAN_IN = 64
+LEVELS = 4
 
 
 def settle(
@@ -50,10 +54,12 @@ def settle(
     Adds ``accepted`` and ``held`` (units held after the request) to the requests.
 
     ``chunk`` must not decrease along ``order_by``; by default blocks of the first order
-    column, which must then be an integer.
+    column (integer, date or timestamp).
     """
     if chunk is None:
-        chunk = F.expr(f"`{order_by[0]}` div {CHUNK_WIDTH}")
+        chunk = bucket_of(requests, order_by[0], CHUNK_WIDTH)
+    limits = stock.select(*keys, F.col(opening).cast("bigint").alias("_opening"))
+    asked = requests.withColumn("_qty", F.col(quantity).cast("bigint"))
     # At most rows / hot_rows keys are hot; the count is partial before it is shuffled.
     hot = (
         requests.groupBy(*keys)
@@ -61,19 +67,23 @@ def settle(
         .filter(F.col("_n") > hot_rows)
         .select(*keys, F.lit(True).alias("_hot"))
     )
-    limits = stock.select(*keys, F.col(opening).cast("bigint").alias("_opening"))
-    marked = requests.withColumn("_qty", F.col(quantity).cast("bigint")).join(
-        limits.join(hot, list(keys), "left"), list(keys), "left"
-    )
-    calm = marked.filter("_hot IS NULL").select(
-        "*", F.lit(-1).cast("bigint").alias("_chunk"), F.lit(0).cast("bigint").alias("_held")
-    )
+    hot = materialize(hot, "hot-keys")
+    if hot.isEmpty():
+        return _replay(_from_zero(asked.join(limits, list(keys), "left")), requests, keys, order_by)
+
+    marked = asked.join(limits.join(hot, list(keys), "left"), list(keys), "left")
+    calm = _from_zero(marked.filter("_hot IS NULL"))
     busy = marked.filter("_hot").withColumn("_chunk", chunk.cast("bigint"))
     busy = busy.join(_chunk_starts(busy, keys, order_by, fan_in, levels), [*keys, "_chunk"])
     started = calm.unionByName(busy.select(*calm.columns)).drop("_hot")
     return _replay(started, requests, keys, order_by)
 
 
+def _from_zero(rows: DataFrame) -> DataFrame:
+    """Rows of keys settled in one piece: a single chunk that starts with nothing held."""
+    return rows.withColumns({"_chunk": F.lit(-1).cast("bigint"), "_held": F.lit(0).cast("bigint")})
+
+
 def _replay(started, requests, keys, order_by) -> DataFrame:
     """Settle each (key, chunk) from its start quantity, streaming in order."""
     group = [*keys, "_chunk"]
@@ -208,10 +218,12 @@ def _chunk_starts(hot, keys, order_by, fan_in: int, levels: int) -> DataFrame:
     node = F.floor(F.col("_chunk") / F.lit(fan_in)).cast("bigint")
     needed = [*key_names, "_chunk", "_opening", "_qty", *[c for c in order_by if c not in key_names]]
     usable = hot.filter("_opening IS NOT NULL").select(*needed)
-    tiers = [usable.groupBy(*key_names, "_chunk").applyInPandas(summarise, fn_schema)]
+    leaves = usable.groupBy(*key_names, "_chunk").applyInPandas(summarise, fn_schema)
+    # Every tier is read twice, by the next one and on the way down: store each.
+    tiers = [materialize(leaves, "chunks")]
     for _ in range(levels - 1):
         parents = tiers[-1].groupBy(*key_names, node.alias("_node"))
-        tiers.append(parents.applyInPandas(chain, fn_schema))
+        tiers.append(materialize(parents.applyInPandas(chain, fn_schema), "chunks"))
 
     # The top tier is one sequence per key; below it, each node starts where its parent says.
     top = tiers[-1].withColumn("_held", F.lit(0).cast("bigint"))

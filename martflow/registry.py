@@ -14,7 +14,7 @@ from martflow import schemas
 from martflow.functions.text import four_digit_year
 from martflow.operators import clean, ingest, quality
 from martflow.plans import loyalty, orders, products, reports, sensors, star
-from martflow.session import run_folder
+from martflow.session import materialize, run_folder
 from martflow.sources import files, sinks, tables
 from martflow.streaming import changes
 
@@ -561,6 +561,7 @@ def cart_after_removals(spark, folder):
 
 def _headers(spark, folder):
     bills = orders.order_bills(_totals(spark, folder), fx.deliveries(spark, folder))
+    bills = materialize(bills, "bills")
     stamp = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
     return orders.placed_orders(bills, stamp)
 
@@ -572,7 +573,8 @@ def placed_orders(spark, folder):
 
 @query
 def placed_order_lines(spark, folder):
-    return orders.placed_order_lines(_headers(spark, folder), fx.lines(spark, folder))
+    headers = materialize(_headers(spark, folder), "headers")
+    return orders.placed_order_lines(headers, fx.lines(spark, folder))
 
 
 @query

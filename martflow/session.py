@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job of this package is written for. Nothing here depends
 # on the cluster size: AQE picks partition counts, join strategies and skew splits.
@@ -46,3 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; no two runs get the same one."""
     return f"{shared_folder(spark)}/martflow/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the stored table.
+
+    For results that several later steps read: they are computed once, the plan stays
+    short, and a lost executor costs a re-read instead of a recomputation.
+    """
+    path = run_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

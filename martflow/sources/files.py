@@ -49,7 +49,10 @@ def parse_delimited(
     ``types`` maps field names, in order, to Spark types. Rejected rows stay visible here;
     ``accepted`` drops them and ``reject_counts`` counts them.
     """
-    parts = fields(F.col(line), separator)
+    # Unnesting a one-element array keeps later filters above the split: pushed below it,
+    # they would split every line again for each field they look at.
+    parts = F.col("_parts")
+    lines = lines.select(F.explode(F.array(fields(F.col(line), separator))).alias("_parts"))
     whole = F.size(parts) == len(types)
     columns: dict[str, Column] = {
         name: F.when(whole, F.get(parts, i)).try_cast(kind)
