@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.rules import money
@@ -47,7 +47,7 @@ def driver_correlations(joined: DataFrame, drivers: Sequence[str] = DRIVERS) ->
             F.struct(
                 F.lit(d).alias("driver"),
                 F.regr_count(sales, F.col(d)).alias("pairs"),
-                F.corr(F.col(d).cast("double"), sales).alias("correlation"),
+                _correlation(F.col(d).cast("double"), sales).alias("correlation"),
                 F.regr_slope(sales, F.col(d)).alias("slope"),
             ).alias(d)
             for d in drivers
@@ -56,9 +56,14 @@ def driver_correlations(joined: DataFrame, drivers: Sequence[str] = DRIVERS) ->
     return row.select(F.inline(F.array(*drivers)))
 
 
-def driver_bins(
-    joined: DataFrame, driver: str, width: float
-) -> DataFrame:
+def _correlation(x: Column, y: Column) -> Column:
+    """Correlation of the complete pairs; NULL where one side does not vary."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
+def driver_bins(joined: DataFrame, driver: str, width: float) -> DataFrame:
     """Rows, mean and total of weekly sales per interval of a measure."""
     position = F.floor(F.col(driver) / F.lit(float(width)))
     return joined.groupBy(position.alias("bin")).agg(
