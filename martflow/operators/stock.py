@@ -71,7 +71,9 @@ def settle(
     if hot.isEmpty():
         return _replay(_from_zero(asked.join(limits, list(keys), "left")), requests, keys, order_by)
 
-    marked = asked.join(limits.join(hot, list(keys), "left"), list(keys), "left")
+    # Stored, so that the requests meet one plain table and AQE can split their hot keys.
+    capacity = materialize(limits.join(hot, list(keys), "left"), "capacity")
+    marked = asked.join(capacity, list(keys), "left")
     calm = _from_zero(marked.filter("_hot IS NULL"))
     busy = marked.filter("_hot").withColumn("_chunk", chunk.cast("bigint"))
     busy = busy.join(_chunk_starts(busy, keys, order_by, fan_in, levels), [*keys, "_chunk"])
@@ -133,44 +135,63 @@ def _fits(held, qty, opening) -> bool:
 # the quantity afterwards is ``held + shift[i]``.
 
 
-def _chunk_function(qty: np.ndarray, opening: int) -> tuple[np.ndarray, np.ndarray]:
+Step = tuple[np.ndarray, np.ndarray]
+BLOCK = 64
+
+
+def _chunk_function(qty: np.ndarray, opening: int) -> Step:
+    """The function of a run of requests: short blocks first, then chained pairwise."""
+    blocks = [qty[i : i + BLOCK] for i in range(0, len(qty), BLOCK)] or [qty]
+    return _chain_all([_block_function(b, opening) for b in blocks], opening)
+
+
+def _block_function(qty: np.ndarray, opening: int) -> Step:
     low, shift = np.zeros(1, np.int64), np.zeros(1, np.int64)
     for q in qty:
         if q == 0 or abs(q) > opening:
             continue
         high = np.append(low[1:] - 1, opening)
-        # Last held quantity (at chunk start) that accepts, or first one for a return.
-        if q > 0:
-            cut = opening - q - shift + 1
-        else:
-            cut = -q - shift
+        # The first start quantity on the other side of "fits" / "does not fit".
+        cut = (opening - q + 1 if q > 0 else -q) - shift
         inside = (cut > low) & (cut <= high)
-        low2 = np.concatenate([low, cut[inside]])
-        shift2 = np.concatenate([shift, shift[inside]])
-        order = np.argsort(low2, kind="stable")
-        low, shift = low2[order], shift2[order]
+        if inside.any():
+            low = np.concatenate([low, cut[inside]])
+            shift = np.concatenate([shift, shift[inside]])
+            order = np.argsort(low)
+            low, shift = low[order], shift[order]
         after = low + shift + q
-        shift = np.where((after >= 0) & (after <= opening), shift + q, shift)
-        keep = np.append(True, shift[1:] != shift[:-1])
-        low, shift = low[keep], shift[keep]
+        low, shift = _merged(low, np.where((after >= 0) & (after <= opening), shift + q, shift))
     return low, shift
 
 
-def _chain(first, second, opening: int):
+def _merged(low: np.ndarray, shift: np.ndarray) -> Step:
+    """Neighbouring steps with the same shift become one."""
+    keep = np.append(True, shift[1:] != shift[:-1])
+    return low[keep], shift[keep]
+
+
+def _chain(first: Step, second: Step, opening: int) -> Step:
     """The function that applies ``first`` and then ``second``."""
-    low1, shift1 = first
-    low2, shift2 = second
+    if opening < 0:
+        return first
+    (low1, shift1), (low2, shift2) = first, second
     high1 = np.append(low1[1:] - 1, opening)
-    lows = [low1]
-    for lo, hi, s in zip(low1, high1, shift1):
-        a, b = np.searchsorted(low2, [lo + s + 1, hi + s + 1])
-        lows.append(low2[a:b] - s)
-    low = np.unique(np.concatenate(lows))
+    # Steps of ``second`` that begin strictly inside the image of each step of ``first``.
+    begin = np.searchsorted(low2, low1 + shift1, side="right")
+    count = np.searchsorted(low2, high1 + shift1, side="right") - begin
+    before = np.cumsum(count) - count
+    position = np.arange(count.sum()) + np.repeat(begin - before, count)
+    low = np.sort(np.concatenate([low1, low2[position] - np.repeat(shift1, count)]))
     s1 = shift1[np.searchsorted(low1, low, side="right") - 1]
     s2 = shift2[np.searchsorted(low2, low + s1, side="right") - 1]
-    shift = s1 + s2
-    keep = np.append(True, shift[1:] != shift[:-1])
-    return low[keep], shift[keep]
+    return _merged(low, s1 + s2)
+
+
+def _chain_all(steps: list[Step], opening: int) -> Step:
+    while len(steps) > 1:
+        pairs = [_chain(a, b, opening) for a, b in zip(steps[::2], steps[1::2])]
+        steps = pairs + steps[len(pairs) * 2 :]
+    return steps[0]
 
 
 def _apply(function, held: int) -> int:
@@ -201,9 +222,7 @@ def _chunk_starts(hot, keys, order_by, fan_in: int, levels: int) -> DataFrame:
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
         opening = int(pdf["_opening"].iloc[0])
-        function = None
-        for step in _functions(pdf):
-            function = step if function is None else _chain(function, step, opening)
+        function = _chain_all(list(_functions(pdf)), opening)
         node = int(pdf["_chunk"].iloc[0]) // fan_in
         return _function_row(pdf.iloc[0], key_names, node, opening, function)
 
@@ -243,5 +262,5 @@ def _functions(pdf: pd.DataFrame):
 def _function_row(first, key_names, chunk, opening, function) -> pd.DataFrame:
     low, shift = function
     row = {k: first[k] for k in key_names}
-    row |= {"_chunk": chunk, "_opening": opening, "_low": low.tolist(), "_shift": shift.tolist()}
+    row |= {"_chunk": chunk, "_opening": opening, "_low": low, "_shift": shift}
     return pd.DataFrame([row])

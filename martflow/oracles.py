@@ -576,7 +576,7 @@ def _sequential(quantity: str, opening: int, body: str) -> str:
         body,
         recursive=True,
         more=f"""asked AS (SELECT *, {quantity} AS q, row_number() OVER (PARTITION BY item_id
-                    ORDER BY order_id, line_no, supplier) AS rn FROM lines),
+                    ORDER BY order_id, line_no, supplier, {quantity}) AS rn FROM lines),
             run AS (
               SELECT item_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS held, false AS accepted
               FROM items0

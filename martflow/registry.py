@@ -533,7 +533,7 @@ def undeliverable_orders(spark, folder):
     return orders.undeliverable_orders(_totals(spark, folder), fx.deliveries(spark, folder))
 
 
-REQUEST_ORDER = ("order_id", "line_no", "supplier")
+REQUEST_ORDER = ("order_id", "line_no", "supplier", "quantity")
 
 
 @query
