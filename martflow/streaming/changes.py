@@ -72,6 +72,19 @@ def capture_changes(
     return encode(batch)
 
 
+def poll(
+    spark: SparkSession, step: Callable[[], DataFrame], send: Callable[[DataFrame], None],
+    checkpoint: str, every: str = "5 seconds",
+) -> StreamingQuery:
+    """Repeat a capture step on a timer: ``send(step())`` at every tick until stopped."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def tick(_: DataFrame, __: int) -> None:
+        send(step())
+
+    return start(ticks.writeStream.foreachBatch(tick), checkpoint, False, every)
+
+
 # -- consumer ------------------------------------------------------------------------
 
 

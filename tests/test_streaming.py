@@ -131,3 +131,26 @@ def test_capture_moves_the_mark_with_the_rows(spark, tmp_path):
     assert step(4) == []
     assert step(6) == [4, 5]
     assert marks.load()["id"] == 5
+
+
+def test_polling_sends_each_change_once(spark, tmp_path):
+    import time
+
+    table = spark.range(3).select("id", F.lit("2024-01-01").cast("timestamp").alias("last_modified"))
+    marks = MarkStore(spark, str(tmp_path / "marks"), "step int, last_modified timestamp, id bigint")
+    sent = []
+    query = changes.poll(
+        spark,
+        lambda: changes.capture_changes(table, str(tmp_path / "outbox"), marks, key="id"),
+        lambda messages: sent.append(messages.count()),
+        str(tmp_path / "c"),
+        every="1 second",
+    )
+    try:
+        for _ in range(300):
+            if len(sent) >= 2:
+                break
+            time.sleep(0.2)
+    finally:
+        changes.stop(query)
+    assert sum(sent) == 3 and sent[0] == 3
