@@ -29,6 +29,9 @@ def session(app: str = "martflow", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -38,8 +41,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="martflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.conf.get("spark.app.id", "")
+        root = _local_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="martflow-")
+        _local_folders[app] = root
     return root.rstrip("/")
 
 

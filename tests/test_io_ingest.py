@@ -215,3 +215,23 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     out = materialize(spark.range(5), "x")
     assert all(shared_folder(spark) in f for f in out.inputFiles())
     assert out.count() == 5
+
+
+class Settings:
+    """A session with these settings only."""
+
+    def __init__(self, **values):
+        self.values = {k.replace("_", "."): v for k, v in values.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_shared_folder_follows_the_session():
+    cluster = Settings(spark_master="yarn", spark_checkpoint_dir="hdfs://x/shared/")
+    assert shared_folder(cluster) == "hdfs://x/shared"
+    with pytest.raises(ValueError):
+        shared_folder(Settings(spark_master="yarn"))
+    local = Settings(spark_master="local[2]", spark_app_id="a")
+    assert shared_folder(local) == shared_folder(local)
