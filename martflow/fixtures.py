@@ -39,8 +39,9 @@ def menu(spark, folder) -> DataFrame:
 
 
 def menu_partial(spark, folder) -> DataFrame:
-    """A menu that lacks every fiftieth product, so that some sales find no price."""
-    return menu(spark, folder).filter(F.col("product_id") % 50 != 0)
+    """The menu with every fiftieth product id unknown, so that some sales find no price."""
+    known = F.when(F.col("product_id") % 50 != 0, F.col("product_id"))
+    return menu(spark, folder).withColumn("product_id", known)
 
 
 def members(spark, folder) -> DataFrame:
@@ -82,17 +83,17 @@ def reading_lines(spark, folder) -> DataFrame:
 
 
 def raw_events(spark, folder) -> DataFrame:
-    """Events with sentinels, missing dates and copied rows."""
-    events = table(spark, folder, "events")
+    """Events with sentinels, missing dates, and every hundredth row twice."""
     n = F.col("event_id")
-    raw = events.select(
+    copies = F.when(n % 100 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return table(spark, folder, "events").select(
         "event_id",
         "user_id",
         F.when(n % 13 == 0, "NA").otherwise(F.col("event_type")).alias("event_type"),
         F.when(n % 17 == 0, "na").otherwise(F.col("value").cast("string")).alias("value"),
         F.when(n % 29 != 0, F.to_date("ts").cast("string")).alias("date"),
-    )
-    return raw.unionByName(raw.filter(n % 100 == 0))
+        F.explode(copies).alias("_copy"),
+    ).drop("_copy")
 
 
 # -- retail --------------------------------------------------------------------------

@@ -15,7 +15,9 @@ VIEWS = {
     "menu": """
         SELECT p_partkey AS product_id, p_name AS product_name,
                CAST(p_retailprice AS DECIMAL(18,2)) AS price FROM part""",
-    "menu_partial": "SELECT * FROM menu WHERE product_id % 50 <> 0",
+    "menu_partial": """
+        SELECT CASE WHEN product_id % 50 <> 0 THEN product_id END AS product_id,
+               product_name, price FROM menu""",
     "members": """
         SELECT c_custkey AS customer_id,
                DATE '1996-01-01' + 60 * CAST(c_nationkey AS INTEGER) AS join_date
