@@ -17,11 +17,13 @@ looked up when the operator is called; only if there are any does the plan hold
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
@@ -29,6 +31,9 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, Str
 from martflow.operators.buckets import bucket_of
 from martflow.session import materialize
 
+# Executors need not have this package installed: its task functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HOT_ROWS = 100_000
 CHUNK_WIDTH = 4_096
 FAN_IN = 64
