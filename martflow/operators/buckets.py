@@ -46,7 +46,8 @@ def dense_ids(
 
     ``bucket`` lists expressions that agree with the order (a prefix of it, or coarser
     values of it). Rows are numbered inside their bucket; the offset of a bucket is the
-    number of rows before it, a running sum over one summary row per bucket.
+    number of rows before it, a running sum over one summary row per bucket. The input is
+    read twice: store it first (``session.materialize``) if it is expensive to compute.
     """
     # A struct is never NULL itself, so rows with NULL keys keep their bucket in the join.
     marked = df.withColumn("_b", F.struct(*bucket))

@@ -90,8 +90,10 @@ class MarkStore:
     def _latest(self):
         try:
             table = self.spark.read.schema(f"{self.schema}, version long").parquet(self.path)
-        except AnalysisException:  # nothing stored yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # nothing stored yet
+                return None
+            raise
         return table.orderBy(F.desc("version")).first()
 
     def load(self, default=None):

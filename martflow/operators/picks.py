@@ -2,8 +2,9 @@
 
 All picks are written as a ranking window compared with a constant. Catalyst turns that
 into a ``WindowGroupLimit`` that runs *before* the shuffle as well, so each task sends at
-most the few rows that can still win. A group holding a third of all rows therefore costs
-its own scan, not one giant task.
+most the few rows that can still win: n rows per group for ``nth_per_group``, the rows tied
+at the task's best value for ``leaders_per_group``. A group holding a third of all rows
+therefore costs its own scan, not one giant task.
 """
 
 from __future__ import annotations

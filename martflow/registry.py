@@ -409,7 +409,9 @@ def dim_features(spark, folder):
 
 @query
 def dim_features_dense(spark, folder):
-    return star.dim_features(fx.features(spark, folder), ids="dense")
+    # Numbering reads its input twice, so an aggregated one is stored first.
+    features = materialize(fx.features(spark, folder), "features")
+    return star.dim_features(features, ids="dense")
 
 
 def _fact(spark, folder):

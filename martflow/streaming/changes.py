@@ -161,7 +161,9 @@ def to_jdbc(
     """Append every batch to a relational table with ``write``.
 
     The id of the last stored batch is kept as a mark; a batch that was stored but not yet
-    committed to the checkpoint is recognised by it after a restart.
+    committed to the checkpoint is recognised by it after a restart. A job that dies between
+    ``write`` and the mark writes that batch again: let ``write`` be a transaction or an
+    upsert where that matters.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
