@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import quality_rules
+from martflow.llm import line_dedup, near_dup, quality_rules
 from martflow.llm.common import table
 from martflow.llm.oracles import SQL
 
@@ -26,3 +26,14 @@ def op3_quality_rules(spark, folder):
     judged = quality_rules.judge(table(spark, folder, "documents"), into="rules", keep=["doc_id"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *[F.col("rules")[n].alias(n) for n in names])
+
+
+@query
+def op4_near_dup(spark, folder):
+    return near_dup.group(table(spark, folder, "documents"))
+
+
+@query
+def op8_line_dedup(spark, folder):
+    lines = line_dedup.drop_repeated_lines(table(spark, folder, "documents"), into="lines", keep=["doc_id"])
+    return lines.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
