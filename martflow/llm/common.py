@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +16,10 @@ __all__ = [
     "fresh_names",
     "materialize",
     "parallelism",
+    "received",
     "remainder",
     "run_folder",
+    "sent",
     "table",
     "utf8",
 ]
@@ -53,3 +58,12 @@ def utf8(text: Column) -> Column:
 def parallelism(df: DataFrame) -> int:
     """Number of shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sent(spark: SparkSession, value: object) -> Broadcast:
+    """``value`` for every executor, classes included. Callers state why its size is bounded."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast):
+    return pickle.loads(shared.value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import line_dedup, near_dup, quality_rules
+from martflow.llm import decontaminate, line_dedup, near_dup, quality_rules
 from martflow.llm.common import table
 from martflow.llm.oracles import SQL
 
@@ -37,3 +37,19 @@ def op4_near_dup(spark, folder):
 def op8_line_dedup(spark, folder):
     lines = line_dedup.drop_repeated_lines(table(spark, folder, "documents"), into="lines", keep=["doc_id"])
     return lines.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_decontaminate(spark, folder):
+    hits = decontaminate.find(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), into="hits", keep=["doc_id"]
+    )
+    names = F.array_sort(F.transform(F.col("hits.items"), lambda x: x.cast("string")))
+    return hits.select(
+        "doc_id",
+        "hits.n_words",
+        "hits.n_hit",
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        decontaminate.contaminated("hits").alias("contaminated"),
+    )
