@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, line_dedup, near_dup, quality_rules
+from martflow.llm import decontaminate, line_dedup, near_dup, pieces, quality_rules
 from martflow.llm.common import table
 from martflow.llm.oracles import SQL
 
@@ -53,3 +53,15 @@ def op10_decontaminate(spark, folder):
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         decontaminate.contaminated("hits").alias("contaminated"),
     )
+
+
+@query
+def op7_sentencepiece(spark, folder):
+    coded = pieces.checked(table(spark, folder, "documents"), keep=["doc_id"], into="coded")
+    return coded.select(
+        "doc_id",
+        "coded.n_tokens",
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        "coded.parity",
+        "coded.round_trip",
+    )
