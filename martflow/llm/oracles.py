@@ -1,3 +1,102 @@
 """SQL for those numbered queries that SQL can express, written for DuckDB."""
 
 SQL: dict[str, str] = {}
+
+SQL["op6_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS h FROM p
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h, n >= 1000) AS last FROM d
+)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM g
+"""
+
+SQL["op8_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), shared AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT doc_id, line, pos, coalesce(doc_id <> first, false) AS lost FROM keyed LEFT JOIN shared USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+SQL["op10_decontaminate"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), starts AS (
+  SELECT item_id, w, least(len(w), 13) AS size, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
+  FROM item WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS g FROM starts
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, sizes WHERE len(w) >= size
+), met AS (
+  SELECT doc_id, item_id, i, p.size
+  FROM (SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS g FROM places) p
+  JOIN windows USING (size, g)
+), hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM met) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+SQL["op4_near_dup"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM starts
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met
+  FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * met >= 75 * (x.n + y.n - met)
+), edge AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(node, label) AS (
+  SELECT doc_id, doc_id FROM size
+  UNION
+  SELECT b, label FROM reach JOIN edge ON a = node WHERE label < b
+), least_id AS (
+  SELECT node, min(label) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       coalesce(component_id, doc_id) = doc_id AS kept
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_id ON node = doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, line_dedup, near_dup, pieces, quality_rules
+from martflow.llm import decontaminate, extract, line_dedup, near_dup, pieces, quality_rules, warc
 from martflow.llm.common import table
 from martflow.llm.oracles import SQL
 
@@ -65,3 +65,17 @@ def op7_sentencepiece(spark, folder):
         "coded.parity",
         "coded.round_trip",
     )
+
+
+@query
+def op6_warc(spark, folder):
+    records = warc.archive(table(spark, folder, "pages"))
+    return records.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op9_extract(spark, folder):
+    found = extract.extract(table(spark, folder, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
