@@ -62,6 +62,22 @@ LABELLED = [
     (1, 0, 0, 0, 9, 0.1, 120, 0.0, 0, 0.0, 0),
     (1, 0, 0, 1, 3, 0.0, 2, 1.0, 14, 0.0, 0),
     (1, 1, 1, 0, 120, 0.0, 6, 0.0, 90, 0.0, 0),
+    (1, 0, 1, 0, 9, 0.0, 1, 1.0, 60, 0.0, 0),
+    (1, 0, 1, 0, 20, 0.0, 2, 1.0, 90, 0.0, 0),
+    (1, 0, 1, 0, 8, 0.0, 0, 0.0, 12, 0.0, 0),
+    (1, 0, 1, 1, 5, 0.0, 0, 0.0, 45, 0.0, 0),
+    (1, 0, 1, 0, 60, 0.0, 90, 0.0, 70, 0.0, 0),
+    (1, 0, 0, 0, 18, 0.0, 3, 1.0, 80, 0.0, 0),
+    (1, 0, 0, 0, 30, 0.0, 0, 0.0, 40, 0.0, 0),
+    (1, 0, 0, 1, 7, 0.0, 2, 0.0, 66, 0.0, 0),
+    (1, 0, 0, 0, 80, 0.0, 60, 0.0, 75, 0.0, 0),
+    (1, 0, 0, 0, 22, 0.1, 70, 0.0, 3, 1.0, 0),
+    (1, 0, 0, 0, 4, 0.0, 60, 0.0, 40, 0.0, 0),
+    (1, 0, 0, 0, 35, 0.0, 8, 0.0, 90, 0.0, 0),
+    (1, 1, 1, 0, 14, 0.0, 70, 0.0, 80, 0.0, 0),
+    (1, 1, 1, 0, 60, 0.0, 55, 0.0, 0, 0.0, 0),
+    (1, 1, 1, 1, 4, 0.0, 40, 0.0, 62, 0.0, 0),
+    (1, 1, 1, 0, 5, 1.0, 90, 0.0, 33, 0.0, 0),
     # inside the article, whatever its length
     (0, 1, 1, 1, 9, 0.0, 12, 0.0, 10, 0.0, 1),
     (0, 1, 1, 0, 10, 0.0, 9, 0.0, 64, 0.0, 1),
@@ -92,7 +108,13 @@ LABELLED = [
     (0, 0, 1, 1, 3, 0.0, 5, 1.0, 11, 0.0, 0),
     (0, 0, 1, 0, 2, 1.0, 70, 0.0, 2, 1.0, 0),
     (0, 0, 1, 0, 60, 0.1, 80, 0.0, 0, 0.0, 0),
+    (0, 0, 1, 0, 20, 0.0, 1, 1.0, 75, 0.0, 0),
+    (0, 0, 1, 0, 18, 0.0, 0, 0.0, 0, 0.0, 0),
     # pages that mark no article: long blocks, and short ones next to them
+    (0, 0, 0, 0, 120, 0.0, 0, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 0, 70, 0.0, 50, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 0, 33, 0.1, 3, 1.0, 28, 0.0, 1),
+    (0, 0, 0, 0, 26, 0.0, 40, 0.0, 5, 1.0, 1),
     (0, 0, 0, 0, 80, 0.0, 60, 0.0, 75, 0.0, 1),
     (0, 0, 0, 0, 35, 0.05, 8, 0.0, 90, 0.0, 1),
     (0, 0, 0, 0, 22, 0.1, 70, 0.0, 3, 1.0, 1),
