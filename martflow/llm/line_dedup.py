@@ -81,8 +81,10 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
             lines.select("h1", "h2", "doc").distinct().groupBy("h1", "h2")
             .agg(F.min("doc").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
         )
+    # Stored, so that the join deals both sides anew and a line of very many documents can be split.
+    shared = materialize(shared.select("h1", "h2", "first"), "shared-lines")
     lost = (
-        lines.join(shared.select("h1", "h2", "first"), ["h1", "h2"])
+        lines.join(shared, ["h1", "h2"])
         .where("doc <> first")
         .groupBy("doc", "row")
         .agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("lost"))
