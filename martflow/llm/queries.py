@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, extract, line_dedup, near_dup, pieces, quality_rules, warc
-from martflow.llm.common import table
+from martflow.llm import decontaminate, extract, langid, line_crf, line_dedup, near_dup, pieces, quality_rules, warc
+from martflow.llm.common import remainder, table
 from martflow.llm.oracles import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -79,3 +79,20 @@ def op6_warc(spark, folder):
 def op9_extract(spark, folder):
     found = extract.extract(table(spark, folder, "pages"), keep=["page_id", "url"])
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op2_line_crf(spark, folder):
+    docs = table(spark, folder, "documents")
+    labels = line_crf.training_part(table(spark, folder, "labels"))
+    scored = line_crf.score(docs, line_crf.training_part(docs), labels, into="score", keep=["doc_id"])
+    held_out = (remainder(F.col("doc_id"), 3) == 1).alias("held_out")
+    return scored.select("doc_id", held_out, "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op5_langid(spark, folder):
+    docs = table(spark, folder, "documents")
+    named = langid.identify(docs, langid.training_part(docs), into="language", keep=["doc_id"])
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return named.select("doc_id", held_out, F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
