@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, extract, langid, line_crf, line_dedup, near_dup, pieces, quality_rules, warc
+from martflow.llm import decontaminate, extract, langid, line_crf, line_dedup, lm, near_dup, pieces, quality_rules, warc
 from martflow.llm.common import remainder, table
 from martflow.llm.oracles import SQL
 
@@ -96,3 +96,11 @@ def op5_langid(spark, folder):
     named = langid.identify(docs, langid.training_part(docs), into="language", keep=["doc_id"])
     held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
     return named.select("doc_id", held_out, F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query
+def op1_lm_score(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    scored = lm.score(docs, docs.where(~held_out), into="lm", keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "lm.*")
