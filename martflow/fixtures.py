@@ -45,11 +45,11 @@ def menu_partial(spark, folder) -> DataFrame:
 
 
 def members(spark, folder) -> DataFrame:
+    """All customers; those of other segments never joined and have no date."""
     joined = F.date_add(F.lit("1996-01-01").cast("date"), F.col("c_nationkey") * 60)
-    return (
-        table(spark, folder, "customer")
-        .filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-        .select(F.col("c_custkey").alias("customer_id"), joined.alias("join_date"))
+    date = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), joined)
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("customer_id"), date.alias("join_date")
     )
 
 
@@ -126,9 +126,10 @@ def new_sales(spark, folder) -> DataFrame:
 
 
 def features(spark, folder) -> DataFrame:
-    lines = table(spark, folder, "lineitem").filter(F.col("l_linenumber") <= 4)
-    return lines.groupBy(
-        F.col("l_suppkey").cast("int").alias("store"), F.to_date("l_shipdate").alias("date")
+    """Measures of each store and week under the week's first day; sales of other days have none."""
+    week = F.to_date(F.date_trunc("week", "l_shipdate"))
+    return table(spark, folder, "lineitem").groupBy(
+        F.col("l_suppkey").cast("int").alias("store"), week.alias("date")
     ).agg(
         F.max("l_quantity").alias("temperature"),
         F.max("l_discount").alias("fuel_price"),
@@ -163,6 +164,13 @@ def new_sales_text(spark, folder) -> DataFrame:
     return _with_text_dates(rows)
 
 
+def all_sales_text(spark, folder) -> DataFrame:
+    """Past and new sales in one table, told apart by ``past``."""
+    rows = _with_text_dates(_all_sales(spark, folder))
+    past = F.col("_day") < F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    return rows.select("store", "dept", "date", "weekly_sales", "isholiday", past.alias("past"))
+
+
 def past_sales_raw(spark, folder) -> DataFrame:
     """Past sales as the text columns of a CSV file, some days unreadable."""
     rows = past_sales_text(spark, folder)
@@ -180,7 +188,7 @@ def past_sales_raw(spark, folder) -> DataFrame:
 # -- change feed ---------------------------------------------------------------------
 
 
-def event_messages(events: DataFrame) -> DataFrame:
+def event_messages(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Events as JSON messages; every second one is encoded twice, as some senders do."""
     once = F.to_json(
         F.struct("event_id", "user_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
@@ -188,7 +196,27 @@ def event_messages(events: DataFrame) -> DataFrame:
     # A JSON string literal of the message: quotes and backslashes escaped, in quotes.
     escaped = F.regexp_replace(F.regexp_replace(once, r"\\", r"\\\\"), '"', '\\\\"')
     twice = F.concat(F.lit('"'), escaped, F.lit('"'))
-    return events.select(F.when(F.col("event_id") % 2 == 0, twice).otherwise(once).alias("value"))
+    message = F.when(F.col("event_id") % 2 == 0, twice).otherwise(once).alias("value")
+    return events.select(*(keep or []), message)
+
+
+def event_feed(events: DataFrame) -> DataFrame:
+    """Messages of events as a live feed has them: some come twice, some had an earlier version,
+    and some are followed by a text that is no message."""
+    n = F.col("event_id")
+    older = F.struct((F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("ts"), F.lit(0.0).alias("value"))
+    same = F.struct("ts", "value")
+    versions = F.concat(
+        F.array(same),
+        F.when(n % 50 == 0, F.array(same)).otherwise(F.array()),
+        F.when(n % 20 == 0, F.array(older)).otherwise(F.array()),
+    )
+    sent = events.select("event_id", "user_id", "event_type", F.explode(versions).alias("v"))
+    sent = sent.select("event_id", "user_id", "event_type", "v.value", "v.ts")
+    noise = F.concat(F.lit('{"event_id": '), (n % 7).cast("string"))
+    parts = F.when(n % 37 == 0, F.array(F.col("value"), noise)).otherwise(F.array(F.col("value")))
+    messages = event_messages(sent, keep=["event_id"])
+    return messages.select(F.explode(parts).alias("value"))
 
 
 def event_stream(spark, folder) -> DataFrame:

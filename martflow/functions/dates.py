@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Text shapes of dates and timestamps in the raw files.
 DAY_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
-STAMP_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z$"
-STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+STAMP_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}Z$"
+STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 STAMP_ZONE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
 
 # A shape test followed by a cast reads text many times faster than a date pattern, and
@@ -27,9 +27,9 @@ def leading_date(c: Column | str) -> Column:
 
 
 def utc_stamp(c: Column | str) -> Column:
-    """Timestamp with milliseconds; the trailing Z is a plain letter, not a zone."""
+    """Timestamp of UTC with one to six digits of a second, whatever the session's zone is."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.rlike(STAMP_SHAPE), F.substring(c, 1, 23)).try_cast("timestamp")
+    return F.when(c.rlike(STAMP_SHAPE), c).try_cast("timestamp")
 
 
 def stamp_date(c: Column | str) -> Column:

@@ -19,6 +19,12 @@ def unwrap(value: Column | str) -> Column:
     return F.when(F.ltrim(value).startswith('"'), envelope["v"]).otherwise(value)
 
 
+def is_readable(value: Column | str) -> Column:
+    """Whether the text is a JSON object, encoded once or twice."""
+    kind = F.json_object_keys(unwrap(value))
+    return F.coalesce(kind.isNotNull(), F.lit(False))
+
+
 def parse_message(value: Column | str, schema: StructType | str) -> Column:
     """Typed struct from single- or double-encoded JSON; malformed text gives NULL fields."""
     return F.from_json(unwrap(value), schema)

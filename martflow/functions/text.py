@@ -11,9 +11,13 @@ def part_at(c: Column | str, separator: str, index: int) -> Column:
     return F.get(F.split(c, _literal(separator)), index)
 
 
+# Fixed value: a run of four digits that stands alone.
+YEAR = r"\b(\d{4})\b"
+
+
 def four_digit_year(c: Column | str, empty_as_null: bool = False) -> Column:
     """First stand-alone run of exactly four digits; '' (or NULL) when there is none."""
-    year = F.regexp_extract(c, r"\b(\d{4})\b", 1)
+    year = F.regexp_extract(c, YEAR, 1)
     return F.nullif(year, F.lit("")) if empty_as_null else year
 
 

@@ -1,102 +1,91 @@
-"""Order-preserving buckets: how ordered work is cut into tasks of bounded size.
+"""Ordered work in ranges: how numbering, filling and settling are cut into tasks.
 
-An ordered computation (numbering, carrying a value forward, settling requests) over one
-huge group is split into consecutive buckets. Buckets are worked on in parallel, and only
-one summary row per bucket has to be looked at in order.
+An ordered computation over one huge group is cut into consecutive ranges of about as many rows
+each: Spark samples the order columns and deals rows out by them, so that the cut follows the rows,
+whatever their values are. Ranges are worked on in parallel; what one range hands to the next is
+one small row for each range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
 
+from martflow.session import materialize
 
-def bucket_of(df: DataFrame, name: str, width: int) -> Column:
-    """Bucket number that never decreases with the column.
+# Row position as ``monotonically_increasing_id`` packs it: the task, then the row within it.
+TASK_BITS = 33
 
-    ``width`` counts units of an integer column, days of a date, seconds of a timestamp.
+
+def ranged(df: DataFrame, order_by: Sequence[str], label: str, parts: int | None = None) -> DataFrame:
+    """``df`` stored in the order of ``order_by``, with ``_part`` (its range) and ``_at`` (place in it).
+
+    Ranges have ascending numbers; rows with equal values are in one range. Stored, because the cut is
+    sampled: whoever reads it twice must see the same one.
     """
-    kind = df.schema[name].dataType
-    if isinstance(kind, IntegralType):
-        position = f"`{name}`"
-    elif isinstance(kind, DateType):
-        position = f"unix_date(`{name}`)"
-    elif isinstance(kind, TimestampType):
-        position = f"unix_seconds(`{name}`)"
-    elif isinstance(kind, TimestampNTZType):
-        # Wall-clock seconds: a detour over a zone could step back when clocks change.
-        clock = f"hour(`{name}`) * 3600 + minute(`{name}`) * 60 + cast(second(`{name}`) as bigint)"
-        position = f"cast(unix_date(cast(`{name}` as date)) as bigint) * 86400 + {clock}"
-    else:
-        raise TypeError(f"no bucket rule for {name}: {kind.simpleString()}")
-    return F.expr(f"({position}) div {int(width)}")
+    cut = df.repartitionByRange(parts, *order_by) if parts else df.repartitionByRange(*order_by)
+    placed = cut.sortWithinPartitions(*order_by).withColumn("_row", F.monotonically_increasing_id())
+    stored = materialize(placed, label)
+    return stored.withColumns(
+        {
+            "_part": F.shiftright("_row", TASK_BITS),
+            "_at": F.col("_row").bitwiseAND(F.lit((1 << TASK_BITS) - 1)),
+        }
+    ).drop("_row")
 
 
 def dense_ids(
-    df: DataFrame,
-    order_by: Sequence[str],
-    bucket: Sequence[Column],
-    name: str,
-    start_after: int = 0,
+    df: DataFrame, order_by: Sequence[str], name: str, start_after: int = 0, parts: int | None = None
 ) -> DataFrame:
-    """Gapless ids 1, 2, 3, ... in the order of ``order_by`` without a global sort.
+    """Gapless ids 1, 2, 3, ... in the order of ``order_by``, which must be unique.
 
-    ``bucket`` lists expressions that agree with the order (a prefix of it, or coarser
-    values of it). Rows are numbered inside their bucket; the offset of a bucket is the
-    number of rows before it, a running sum over one summary row per bucket. The input is
-    read twice: store it first (``session.materialize``) if it is expensive to compute.
+    Rows are numbered inside their range; the offset of a range is the number of rows before it, a
+    running sum over one row for each range. The input is computed once and stored.
     """
-    # A struct is never NULL itself, so rows with NULL keys keep their bucket in the join.
-    marked = df.withColumn("_b", F.struct(*bucket))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged(df, order_by, "numbered", parts)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        marked.groupBy("_b")
+        rows.groupBy("_part")
         .agg(F.count("*").alias("_n"))
-        .select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy(*order_by))
-    numbered = marked.withColumn("_inside", inside).join(offsets, "_b")
-    identity = (F.col("_offset") + F.col("_inside") + F.lit(start_after)).cast("bigint")
-    return numbered.select(*df.columns, identity.alias(name))
+    identity = (F.col("_offset") + F.col("_at") + F.lit(start_after + 1)).cast("bigint")
+    return rows.join(offsets, "_part").select(*[f"`{c}`" for c in df.columns], identity.alias(name))
 
 
 def forward_fill(
     df: DataFrame,
     value: str,
     order_by: Sequence[str],
-    bucket: Column,
     partition_by: Sequence[str] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """Fill NULLs of ``value`` with the latest earlier value of the same group.
 
-    ``order_by`` must be unique per group and ``bucket`` must not decrease along it. Each
-    (group, bucket) is filled on its own; what is carried into it comes from the summary
-    of earlier buckets. Rows before the first known value stay NULL.
+    ``order_by`` must be unique per group. Each part of a group that lies in one range is filled on its
+    own; what is carried into it comes from one row for each earlier range of the group. Rows before the
+    first known value stay NULL.
     """
-    key = F.struct(*(partition_by or [F.lit(0).alias("all")]))
-    marked = df.select("*", key.alias("_k"), F.struct(bucket.alias("b")).alias("_b"))
-
-    # A single order column keeps the aggregate hash based; a struct would be sorted.
-    position = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
-    known = F.when(F.col(value).isNotNull(), position)
+    rows = ranged(df, [*partition_by, *order_by], "filled", parts)
+    marked = rows.withColumn("_k", F.struct(*(partition_by or [F.lit(0).alias("all")])))
+    known = F.when(F.col(value).isNotNull(), F.col("_at"))
     earlier = (
-        Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        marked.groupBy("_k", "_b")
+        marked.groupBy("_k", "_part")
         .agg(F.max_by(F.col(value), known).alias("_last"))
-        .select("_k", "_b", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+        .select("_k", "_part", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     )
     so_far = (
-        Window.partitionBy("_k", "_b")
-        .orderBy(*order_by)
+        Window.partitionBy("_k", "_part")
+        .orderBy("_at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = marked.withColumn("_local", F.last(value, ignorenulls=True).over(so_far))
     filled = F.coalesce("_local", "_carried").alias(value)
-    return local.join(carried, ["_k", "_b"]).select(
-        *[filled if c == value else F.col(c) for c in df.columns]
+    return local.join(carried, ["_k", "_part"]).select(
+        *[filled if c == value else F.col(f"`{c}`") for c in df.columns]
     )

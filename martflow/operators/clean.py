@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.dates import leading_date
 from martflow.functions.missing import SENTINELS, blank_to_null
-from martflow.operators.buckets import bucket_of, forward_fill
+from martflow.operators.buckets import forward_fill
 from martflow.session import materialize
 
 
@@ -64,14 +64,10 @@ def fill_dates(
     date: str,
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
-    bucket: Column | None = None,
-    bucket_width: int = 1_000_000,
 ) -> DataFrame:
     """Parse a date text and carry the last known date forward along ``order_by``."""
-    if bucket is None:
-        bucket = bucket_of(df, order_by[0], bucket_width)
     parsed = df.withColumn(date, leading_date(F.col(date).cast("string")))
-    return forward_fill(parsed, date, order_by, bucket, partition_by)
+    return forward_fill(parsed, date, order_by, partition_by)
 
 
 def clean_impute(
@@ -85,9 +81,10 @@ def clean_impute(
 ) -> DataFrame:
     """Sentinels to NULL, drop copies, fill numbers, texts and dates, in this order.
 
-    Copies are dropped before filling, so rows that only become equal by filling stay.
+    Copies are dropped before filling, so rows that only become equal by filling stay. The rows
+    without copies are stored: means, modes, dates and the result all read them.
     """
-    out = blank_to_null(df, sentinels).dropDuplicates()
+    out = materialize(blank_to_null(df, sentinels).dropDuplicates(), "without-copies")
     if numeric:
         out = impute_mean(out, numeric)
     if categorical:

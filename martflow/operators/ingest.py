@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.session import materialize
 from martflow.sources.files import read_csv
 from martflow.sources.sinks import write_csv_if_any
 
@@ -116,9 +117,10 @@ class MarkStore:
 class Feed:
     """One table of an incremental job.
 
-    ``target`` reads the stored table, ``append`` adds rows to it. ``order_by`` starts with
-    the unique key. With ``marks`` the position is taken from the last *extracted* row, so
-    rows beyond ``n`` come with the next run instead of being skipped.
+    ``target`` reads the stored table, ``append`` adds rows to it. ``order_by`` starts with the
+    unique key, whose order is that of arrival: a run goes on after the greatest key stored, with at
+    most ``n`` rows (all by default). ``marks`` keeps the last *extracted* row, so that rows which a
+    run stored but did not extract come with the next one.
     """
 
     name: str
@@ -128,7 +130,7 @@ class Feed:
     extract_path: str
     order_by: Sequence[str]
     mark: str = "last_modified"
-    n: int | None = 100
+    n: int | None = None
     marks: MarkStore | None = None
     read_options: dict = field(default_factory=dict)
 
@@ -136,18 +138,26 @@ class Feed:
 def run_incremental(
     spark: SparkSession, feeds: Sequence[Feed], stamp: datetime | None = None
 ) -> dict[str, bool]:
-    """Mark, append, extract, for each feed. Tells which feeds wrote an extract."""
+    """Append what is new, extract, move the mark, for each feed. Tells which feeds wrote an extract.
+
+    The rows of a run are written once; the table, the extract and the mark all take them from there.
+    """
     wrote = {}
     for feed in feeds:
         key = feed.order_by[0]
+        stored = feed.target()
+        last = stored.agg(F.max(key)).first()[0]
         known = feed.marks.load() if feed.marks else None
         if known is None:
-            known = high_water_mark(feed.target(), feed.mark, key).first().asDict()
-        fresh = read_csv(spark, feed.source_path, infer=True, **feed.read_options)
-        feed.append(stamp_new(fresh, feed.n, feed.order_by, stamp, feed.mark))
-        news = fetch_since(
-            feed.target(), feed.mark, known[feed.mark], feed.n, key, known[key]
-        )
+            known = high_water_mark(stored, feed.mark, key).first().asDict()
+        source = read_csv(spark, feed.source_path, infer=True, **feed.read_options)
+        ahead = source if last is None else source.filter(F.col(key) > F.lit(last))
+        batch = materialize(stamp_new(ahead, feed.n, feed.order_by, stamp, feed.mark), "batch")
+        if not batch.isEmpty():
+            feed.append(batch)
+        # Everything stored past the mark: this batch, and what an interrupted run left behind.
+        news = fetch_since(feed.target(), feed.mark, known[feed.mark], None, key, known[key])
+        news = materialize(news, "extract")
         wrote[feed.name] = write_csv_if_any(news, feed.extract_path)
         if feed.marks and wrote[feed.name]:
             feed.marks.save(**high_water_mark(news, feed.mark, key).first().asDict())

@@ -1,18 +1,17 @@
 """Stock requests settled in order: accept what fits, refuse the rest.
 
-Whether a request fits depends on all earlier answers of its key, so a key is sequential
-by nature. Rows are therefore streamed through each task in key order, holding only the
-current quantity, never a whole group. A key with more than ``hot_rows`` requests is also
-cut into consecutive chunks, worked on in parallel:
-
-1. Every chunk is summarised as a function "quantity held before -> quantity held after",
-   a short list of steps (at most one per unit of stock).
-2. Functions of neighbouring chunks are chained in a tree of ``fan_in`` children per node,
-   then the known start quantity is handed down the same tree to each chunk.
-3. With its start quantity known, a chunk is settled like a key of its own.
-
-The answers are exactly those of settling the key from front to back. The hot keys are
-looked up when the operator is called; only if there are any does the plan hold step 1-3.
+Whether a request fits depends on all earlier answers of its key, so a key is sequential by
+nature. Requests are therefore cut into ranges of (key, order), of about as many rows each
+whatever the keys are (``buckets.ranged``); a hot key lies in several of them.
+
+1. Every part of a key that goes on into another range is summarised as a function "quantity
+   held before -> quantity held after", a short list of steps (at most one per unit of stock).
+2. Functions of neighbouring ranges are chained in a tree of ``fan_in`` children per node,
+   then the known start quantity is handed down the same tree to each part.
+3. With its start quantity known, a range is settled row by row, holding only the current
+   quantity.
+
+The answers are exactly those of settling each key from front to back, for every cut.
 """
 
 from __future__ import annotations
@@ -24,20 +23,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
-from martflow.operators.buckets import bucket_of
+from martflow.operators.buckets import ranged
 from martflow.session import materialize
 
 # Executors need not have this package installed: its task functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-HOT_ROWS = 100_000
-CHUNK_WIDTH = 4_096
 FAN_IN = 64
-LEVELS = 4
 
 
 def settle(
@@ -47,72 +43,46 @@ def settle(
     order_by: Sequence[str],
     quantity: str = "quantity",
     opening: str = "opening",
-    chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
     fan_in: int = FAN_IN,
-    levels: int = LEVELS,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Answer signed requests in the order of ``order_by`` (unique within a key).
+    """Answer signed requests in the order of ``order_by`` (unique within a key; NULLs first).
 
     A positive quantity takes from the stock of the key if that much is left; a negative
-    one gives back if that much is held. NULL quantities and unknown keys are refused.
-    Adds ``accepted`` and ``held`` (units held after the request) to the requests.
-
-    ``chunk`` must not decrease along ``order_by``; by default blocks of the first order
-    column (integer, date or timestamp).
+    one gives back if that much is held. NULL quantities, and keys that are unknown, NULL or of
+    NULL opening, are refused. Adds ``accepted`` and ``held`` (units held after the request) to
+    the requests; no request is lost. ``parts`` sets the number of ranges (Spark chooses).
     """
-    if chunk is None:
-        chunk = bucket_of(requests, order_by[0], CHUNK_WIDTH)
     limits = stock.select(*keys, F.col(opening).cast("bigint").alias("_opening"))
     asked = requests.withColumn("_qty", F.col(quantity).cast("bigint"))
-    # At most rows / hot_rows keys are hot; the count is partial before it is shuffled.
-    hot = (
-        requests.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    hot = materialize(hot, "hot-keys")
-    if hot.isEmpty():
-        return _replay(_from_zero(asked.join(limits, list(keys), "left")), requests, keys, order_by)
-
-    # Stored, so that the requests meet one plain table and AQE can split their hot keys.
-    capacity = materialize(limits.join(hot, list(keys), "left"), "capacity")
-    marked = asked.join(capacity, list(keys), "left")
-    calm = _from_zero(marked.filter("_hot IS NULL"))
-    busy = marked.filter("_hot").withColumn("_chunk", chunk.cast("bigint"))
-    busy = busy.join(_chunk_starts(busy, keys, order_by, fan_in, levels), [*keys, "_chunk"])
-    started = calm.unionByName(busy.select(*calm.columns)).drop("_hot")
-    return _replay(started, requests, keys, order_by)
-
-
-def _from_zero(rows: DataFrame) -> DataFrame:
-    """Rows of keys settled in one piece: a single chunk that starts with nothing held."""
-    return rows.withColumns({"_chunk": F.lit(-1).cast("bigint"), "_held": F.lit(0).cast("bigint")})
-
-
-def _replay(started, requests, keys, order_by) -> DataFrame:
-    """Settle each (key, chunk) from its start quantity, streaming in order."""
-    group = [*keys, "_chunk"]
-    # NULL keys must not meet in one task: nothing can be accepted for them.
-    spread = F.when(F.col("_opening").isNull(), F.xxhash64(*order_by))
-    ordered = (
-        started.withColumn("_spread", spread)
-        .repartition(*group, "_spread")
-        .sortWithinPartitions(*group, *order_by)
-        .drop("_spread")
+    rows = ranged(asked.join(limits, list(keys), "left"), [*keys, *order_by], "requests", parts)
+    # Keys that lie in several ranges: no more of them than ranges.
+    spans = rows.filter("_opening IS NOT NULL").groupBy(*keys).agg(
+        F.min("_part").alias("_first"), F.max("_part").alias("_last")
     )
+    spans = materialize(spans.filter("_first < _last").select(*keys), "spans")
+    zero = F.lit(0).cast("bigint")
+    if spans.isEmpty():
+        return _replay(rows.withColumn("_held", zero), requests, keys)
+    starts = materialize(_part_starts(rows.join(spans, list(keys)), keys, fan_in), "starts")
+    begun = rows.join(starts, [*keys, "_part"], "left").withColumn("_held", F.coalesce("_held", zero))
+    return _replay(begun, requests, keys)
+
+
+def _replay(rows: DataFrame, requests: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Settle each range, every part of a key from its start quantity."""
+    ordered = rows.repartition("_part").sortWithinPartitions("_part", "_at")
     names = list(requests.columns)
     schema = StructType(
         requests.schema.fields
         + [StructField("accepted", BooleanType()), StructField("held", LongType())]
     )
-    inputs = ("_qty", "_opening", "_held")
+    inputs = ("_part", *keys, "_qty", "_opening", "_held")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, 0
         for batch in batches:
-            column = {c: batch.column(c).to_pylist() for c in (*group, *inputs)}
+            column = {c: batch.column(c).to_pylist() for c in inputs}
             answers, after = [], []
             for *key, qty, opening, start in zip(*column.values()):
                 if key != current:
@@ -204,56 +174,57 @@ def _apply(function, held: int) -> int:
     return int(held + shift[np.searchsorted(low, held, side="right") - 1])
 
 
-def _chunk_starts(hot, keys, order_by, fan_in: int, levels: int) -> DataFrame:
-    """``(keys, _chunk, _held)``: the quantity held when each chunk of a hot key begins."""
-    key_fields = [hot.schema[k] for k in keys]
+def _part_starts(rows: DataFrame, keys: Sequence[str], fan_in: int) -> DataFrame:
+    """``(keys, _part, _held)``: the quantity held when each part of a key begins."""
+    key_fields = [rows.schema[k] for k in keys]
     fn_schema = StructType(
         key_fields
-        + [StructField("_chunk", LongType()), StructField("_opening", LongType())]
+        + [StructField("_part", LongType()), StructField("_opening", LongType())]
     )
     for c in ("_low", "_shift"):
         fn_schema = fn_schema.add(c, ArrayType(LongType()))
     start_schema = StructType(
-        key_fields + [StructField("_chunk", LongType()), StructField("_held", LongType())]
+        key_fields + [StructField("_part", LongType()), StructField("_held", LongType())]
     )
-    key_names, order_names = list(keys), list(order_by)
+    key_names = list(keys)
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_names)
+        pdf = pdf.sort_values("_at")
         opening = int(pdf["_opening"].iloc[0])
         function = _chunk_function(pdf["_qty"].fillna(0).to_numpy(np.int64), opening)
-        return _function_row(pdf.iloc[0], key_names, int(pdf["_chunk"].iloc[0]), opening, function)
+        return _function_row(pdf.iloc[0], key_names, int(pdf["_part"].iloc[0]), opening, function)
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
+        pdf = pdf.sort_values("_part")
         opening = int(pdf["_opening"].iloc[0])
         function = _chain_all(list(_functions(pdf)), opening)
-        node = int(pdf["_chunk"].iloc[0]) // fan_in
+        node = int(pdf["_part"].iloc[0]) // fan_in
         return _function_row(pdf.iloc[0], key_names, node, opening, function)
 
     def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
+        pdf = pdf.sort_values("_part")
         held, starts = int(pdf["_held"].iloc[0]), []
         for step in _functions(pdf):
             starts.append(held)
             held = _apply(step, held)
-        return pdf[[*key_names, "_chunk"]].assign(_held=starts)
+        return pdf[[*key_names, "_part"]].assign(_held=starts)
 
-    node = F.floor(F.col("_chunk") / F.lit(fan_in)).cast("bigint")
-    needed = [*key_names, "_chunk", "_opening", "_qty", *[c for c in order_by if c not in key_names]]
-    usable = hot.filter("_opening IS NOT NULL").select(*needed)
-    leaves = usable.groupBy(*key_names, "_chunk").applyInPandas(summarise, fn_schema)
+    node = F.floor(F.col("_part") / F.lit(fan_in)).cast("bigint")
+    needed = rows.select(*key_names, "_part", "_at", "_opening", "_qty")
+    leaves = needed.groupBy(*key_names, "_part").applyInPandas(summarise, fn_schema)
     # Every tier is read twice, by the next one and on the way down: store each.
     tiers = [materialize(leaves, "chunks")]
-    for _ in range(levels - 1):
+    last = tiers[0].agg(F.max("_part")).first()[0] or 0
+    while last >= fan_in:
         parents = tiers[-1].groupBy(*key_names, node.alias("_node"))
         tiers.append(materialize(parents.applyInPandas(chain, fn_schema), "chunks"))
+        last //= fan_in
 
     # The top tier is one sequence per key; below it, each node starts where its parent says.
     top = tiers[-1].withColumn("_held", F.lit(0).cast("bigint"))
     starts = top.groupBy(*key_names).applyInPandas(hand_down, start_schema)
     for tier in reversed(tiers[:-1]):
-        parents = starts.withColumnRenamed("_chunk", "_node")
+        parents = starts.withColumnRenamed("_part", "_node")
         children = tier.withColumn("_node", node).join(parents, [*key_names, "_node"])
         starts = children.groupBy(*key_names, "_node").applyInPandas(hand_down, start_schema)
     return starts
@@ -264,8 +235,8 @@ def _functions(pdf: pd.DataFrame):
         yield np.asarray(low, np.int64), np.asarray(shift, np.int64)
 
 
-def _function_row(first, key_names, chunk, opening, function) -> pd.DataFrame:
+def _function_row(first, key_names, part, opening, function) -> pd.DataFrame:
     low, shift = function
     row = {k: first[k] for k in key_names}
-    row |= {"_chunk": chunk, "_opening": opening, "_low": low, "_shift": shift}
+    row |= {"_part": part, "_opening": opening, "_low": low, "_shift": shift}
     return pd.DataFrame([row])

@@ -20,8 +20,9 @@ VIEWS = {
                product_name, price FROM menu""",
     "members": """
         SELECT c_custkey AS customer_id,
-               DATE '1996-01-01' + 60 * CAST(c_nationkey AS INTEGER) AS join_date
-        FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+               CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY')
+                    THEN DATE '1996-01-01' + 60 * CAST(c_nationkey AS INTEGER) END AS join_date
+        FROM customer""",
     "products": """
         SELECT replace(p_brand, '#', '_') AS product_number,
                p_name || ' ' || CAST(1990 + p_partkey % 30 AS VARCHAR) AS product_name,
@@ -74,10 +75,11 @@ VIEWS = {
         SELECT *, CASE WHEN order_key % 11 <> 0 AND order_key % 13 <> 0 THEN date END AS day
         FROM all_sales""",
     "features": """
-        SELECT CAST(l_suppkey AS INTEGER) AS store, CAST(l_shipdate AS DATE) AS date,
+        SELECT CAST(l_suppkey AS INTEGER) AS store,
+               CAST(date_trunc('week', l_shipdate) AS DATE) AS date,
                max(l_quantity) AS temperature, max(l_discount) AS fuel_price,
                max(l_tax) AS cpi, min(l_quantity) AS unemployment
-        FROM lineitem WHERE l_linenumber <= 4 GROUP BY 1, 2""",
+        FROM lineitem GROUP BY 1, 2""",
     "features_id": """
         SELECT CAST(store AS BIGINT) * 4294967296 + CAST(date - DATE '1970-01-01' AS BIGINT)
                AS feature_id, * FROM features""",
@@ -102,7 +104,7 @@ VIEWS = {
     "totals": """
         SELECT order_id, count(*) AS line_count,
                sum(CAST(cost * quantity AS DECIMAL(18,2))) AS items_total
-        FROM lines JOIN items USING (item_id) GROUP BY order_id""",
+        FROM (SELECT * FROM answered WHERE accepted) JOIN items USING (item_id) GROUP BY order_id""",
     "charged": """
         SELECT t.*, 1.5 * c_nationkey AS distance_km,
                CASE WHEN 1.5 * c_nationkey <= 15 THEN 50
@@ -128,7 +130,8 @@ NEEDS = {
     "readable": ["all_sales"],
     "features_id": ["features"],
     "fact": ["past_sales", "features_id"],
-    "totals": ["lines", "items"],
+    "totals": ["answered", "items"],
+    "answered": ["lines"],
     "charged": ["totals"],
     "bills": ["charged"],
     "headers": ["bills"],
@@ -334,7 +337,10 @@ SQL["full_profile"] = _with(
        UNION ALL SELECT 'missing', 'date', count(*) - count(date) FROM raw_events""",
 )
 SQL["label_profile"] = """
-    SELECT count(*) - count(d.doc_id) AS doc_id, count(*) - count(lang) AS lang,
+    SELECT count(*) - count(d.doc_id) AS doc_id,
+           count(*) FILTER (text IS NULL OR text IN ('NA', 'na', '')) AS text,
+           count(*) - count(lang) AS lang, count(*) - count(source) AS source,
+           count(*) - count(n_chars) AS n_chars,
            count(*) - count(quality) AS quality, count(*) - count(toxic) AS toxic
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 SQL["outliers_removed"] = """
@@ -349,11 +355,13 @@ SQL["outlier_report"] = """
     FROM events, (SELECT avg(user_id) AS m, stddev_samp(user_id) AS s FROM events)"""
 _CHECKS = """checks AS (
       SELECT 'duplicates' AS "check", '' AS "column", count(*) - (SELECT count(*) FROM
-             (SELECT DISTINCT event_id, user_id, event_type, value FROM events)) AS observed FROM events
+             (SELECT DISTINCT * FROM events)) AS observed FROM events
       UNION ALL SELECT 'missing', 'event_id', count(*) - count(event_id) FROM events
       UNION ALL SELECT 'missing', 'user_id', count(*) - count(user_id) FROM events
       UNION ALL SELECT 'missing', 'event_type', count(*) - count(event_type) FROM events
       UNION ALL SELECT 'missing', 'value', count(*) - count(value) FROM events
+      UNION ALL SELECT 'missing', 'ts', count(*) - count(ts) FROM events
+      UNION ALL SELECT 'missing', 'props', count(*) - count(props) FROM events
       UNION ALL SELECT 'outliers', 'value', count(*) FILTER (abs(value - m) > 3 * s)
                 FROM events, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events))"""
 SQL["quality_checks"] = f"""WITH {_CHECKS}
@@ -435,6 +443,8 @@ SQL["load_by_key"] = """
 SQL["next_load_key"] = """
     SELECT coalesce(max(l_orderkey), 12000) AS last_key FROM lineitem WHERE l_orderkey > 12000"""
 
+SQL["incremental_job"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+
 # -- star schema ---------------------------------------------------------------------
 
 _FLOAT_SALES = "round(CAST(CAST(weekly_sales AS FLOAT) AS DOUBLE), 2) AS weekly_sales"
@@ -553,6 +563,33 @@ SQL["cart_lines"] = _with(
                {_money('cost * quantity', 'line_total')}
         FROM lines JOIN items USING (item_id)""",
 )
+def _settled(quantity: str, opening: int) -> str:
+    """One step per request of an item, all items side by side."""
+    fits = f"coalesce(CAST(held + q AS BIGINT) BETWEEN 0 AND {opening}, false)"
+    return f"""asked AS (SELECT *, {quantity} AS q, row_number() OVER (PARTITION BY item_id
+                    ORDER BY order_id, line_no, supplier, {quantity} NULLS FIRST) AS rn FROM lines),
+            run AS (
+              SELECT p_partkey AS item_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS held,
+                     false AS accepted
+              FROM part
+              UNION ALL
+              SELECT a.item_id, a.rn,
+                     CASE WHEN {fits} THEN held + q ELSE held END, {fits}
+              FROM run JOIN asked a ON a.item_id = run.item_id AND a.rn = run.rn + 1),
+            answered AS (SELECT a.*, r.accepted, r.held
+                         FROM run r JOIN asked a ON a.item_id = r.item_id AND a.rn = r.rn)"""
+
+
+def _sequential(quantity: str, opening: int, body: str) -> str:
+    return _with("lines", body, recursive=True, more=_settled(quantity, opening))
+
+
+# Only accepted lines are billed, placed and taken from stock; returned lines ask for nothing.
+VIEWS["answered"] = (
+    "SELECT * FROM (WITH RECURSIVE "
+    + _settled("CASE WHEN NOT returned THEN quantity END", 500)
+    + " SELECT * FROM answered)"
+)
 SQL["order_totals"] = _with(
     "totals", f"SELECT order_id, line_count, {_money('items_total', 'items_total')} FROM totals"
 )
@@ -570,27 +607,6 @@ SQL["undeliverable_orders"] = _with(
 )
 
 
-def _sequential(quantity: str, opening: int, body: str) -> str:
-    """One step per request of an item, all items side by side."""
-    fits = f"CAST(held + q AS BIGINT) BETWEEN 0 AND {opening}"
-    return _with(
-        "lines",
-        body,
-        recursive=True,
-        more=f"""asked AS (SELECT *, {quantity} AS q, row_number() OVER (PARTITION BY item_id
-                    ORDER BY order_id, line_no, supplier, {quantity}) AS rn FROM lines),
-            run AS (
-              SELECT item_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS held, false AS accepted
-              FROM items0
-              UNION ALL
-              SELECT a.item_id, a.rn,
-                     CASE WHEN {fits} THEN held + q ELSE held END, {fits}
-              FROM run JOIN asked a ON a.item_id = run.item_id AND a.rn = run.rn + 1),
-            answered AS (SELECT a.*, r.accepted, r.held
-                         FROM run r JOIN asked a ON a.item_id = r.item_id AND a.rn = r.rn)""",
-    ).replace("items0", "(SELECT p_partkey AS item_id FROM part)")
-
-
 SQL["stock_allocation"] = _sequential(
     "quantity",
     500,
@@ -619,12 +635,13 @@ SQL["placed_order_lines"] = _with(
     "headers",
     """SELECT row_number() OVER (ORDER BY h.id, item_id) AS id, h.id AS order_id, item_id,
               CAST(sum(quantity) AS BIGINT) AS quantity
-       FROM lines l JOIN headers h ON l.order_id = h.order_id GROUP BY h.id, item_id""",
+       FROM answered l JOIN headers h ON l.order_id = h.order_id WHERE accepted
+       GROUP BY h.id, item_id""",
 )
 SQL["remaining_stock"] = _with(
-    "lines items",
+    "answered items",
     """SELECT i.item_id, item, CAST(500 - coalesce(sum(quantity), 0) AS BIGINT) AS remaining
-       FROM items i LEFT JOIN (SELECT * FROM lines WHERE NOT returned) l ON i.item_id = l.item_id
+       FROM items i LEFT JOIN (SELECT * FROM answered WHERE accepted) l ON i.item_id = l.item_id
        GROUP BY i.item_id, item""",
 )
 
@@ -637,6 +654,10 @@ SQL["changes_encoded"] = f"""
     FROM (SELECT event_id, {_MESSAGE} AS m FROM events)"""
 for _name in ("changes_decoded", "stream_changes_to_table", "stream_changes_to_json", "json_roundtrip"):
     SQL[_name] = _with("decoded", "SELECT * FROM decoded")
+SQL["unreadable_changes"] = """
+    SELECT '{"event_id": ' || (event_id % 7) AS value,
+           count(*) + count(*) FILTER (event_id % 50 = 0) + count(*) FILTER (event_id % 20 = 0) AS times
+    FROM events WHERE event_id % 37 = 0 GROUP BY 1"""
 SQL["sales_changes_decoded"] = _with(
     "past_sales",
     f"""SELECT store AS store_id, dept, date, {_FLOAT_SALES}, isholiday, last_modified
@@ -662,3 +683,23 @@ SQL["typed_csv_roundtrip"] = _with(
 )
 SQL["orc_table_roundtrip"] = SQL["dim_store"]
 SQL["external_csv_table"] = SQL["dim_date"]
+for _name in ("csv_table_with_catalog", "parquet_table_with_catalog", "orc_table_overwritten", "recursive_csv"):
+    SQL[_name] = SQL["typed_csv_roundtrip"]
+SQL["inferred_csv"] = _with(
+    "past_sales",
+    "SELECT store, CAST(dept AS INTEGER) AS dept, weekly_sales, isholiday FROM past_sales",
+)
+SQL["ddl_csv"] = _with("store", "SELECT store, type, size FROM store")
+SQL["replaced_if_any"] = SQL["dim_store"]
+SQL["unloaded_tables"] = _with(
+    "past_sales",
+    f"""SELECT * FROM ({_days("past_sales", "date")}) UNION ALL
+        SELECT * FROM ({_days("past_sales", "date")})""",
+)
+SQL["appended_extract"] = "SELECT DISTINCT o_orderkey, o_custkey FROM orders"
+SQL["seeded_table"] = f"""
+    SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS item,
+           {_money("CAST(p_retailprice AS DECIMAL(10,2))", "cost")}, 500 AS quantity,
+           CAST(4 AS BIGINT) AS columns FROM part
+    UNION ALL SELECT -1, 'sample one', NULL, NULL, 4
+    UNION ALL SELECT -2, 'sample two', NULL, NULL, 4"""

@@ -6,8 +6,8 @@ an order; sort at the point of display.
 
 Joins name no strategy: the small side of a join is broadcast when its *measured* size is
 below the threshold, otherwise both sides are shuffled and AQE splits oversized partitions
-of a hot customer or product. For that to stay possible no query ends a join on the key it
-groups by next: members are joined before the menu, so a shuffle always follows.
+of a hot customer or product. Equal purchases are counted before anything is joined, and
+purchases are dealt anew after the members' join, so that a hot customer can be split there.
 """
 
 from __future__ import annotations
@@ -28,10 +28,15 @@ PROMOTION_END = date(2021, 1, 31)
 
 def total_spent(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Amount spent per customer; products missing from the menu add nothing."""
-    priced = sales.select("customer_id", "product_id").join(
-        menu.select("product_id", "price"), "product_id", "left"
+    priced = _bought(sales).join(menu.select("product_id", "price"), "product_id", "left")
+    return priced.groupBy("customer_id").agg(
+        F.sum(F.col("price") * F.col("times")).cast("decimal(38,2)").alias("total_spent")
     )
-    return priced.groupBy("customer_id").agg(F.sum("price").alias("total_spent"))
+
+
+def _bought(sales: DataFrame, *more: str) -> DataFrame:
+    """How often a customer bought a product: one row for all of a hot customer's equal purchases."""
+    return sales.groupBy("customer_id", "product_id", *more).agg(F.count("*").alias("times"))
 
 
 def visit_days(sales: DataFrame) -> DataFrame:
@@ -44,9 +49,13 @@ def first_product(
     sales: DataFrame, menu: DataFrame, tie_keys: Sequence[str] = ("product_id",)
 ) -> DataFrame:
     """The first known product each customer bought; ``tie_keys`` settle equal dates."""
-    named = sales.join(menu.select("product_id", "product_name"), "product_id")
+    known = menu.filter("product_id IS NOT NULL")
+    sold = sales.join(known.select("product_id"), "product_id", "left_semi")
     order = [F.col(c).asc() for c in ("order_date", *tie_keys)]
-    return nth_per_group(named, ["customer_id"], order).select("customer_id", "product_name")
+    first = nth_per_group(sold, ["customer_id"], order).select("customer_id", "product_id")
+    return first.join(known.select("product_id", "product_name"), "product_id").select(
+        "customer_id", "product_name"
+    )
 
 
 def top_product(sales: DataFrame, menu: DataFrame, k: int = 1) -> DataFrame:
@@ -64,12 +73,8 @@ def favourite_products(sales: DataFrame, menu: DataFrame, by: str = "product_nam
     included under a NULL name; the two differ when ids share a name.
     """
     if by == "product_name":
-        named = sales.select("customer_id", "product_id").join(
-            menu.select("product_id", "product_name"), "product_id"
-        )
-        counts = named.groupBy("customer_id", "product_name").agg(
-            F.count("product_id").alias("frequency")
-        )
+        named = _bought(sales).join(menu.select("product_id", "product_name"), "product_id")
+        counts = named.groupBy("customer_id", "product_name").agg(F.sum("times").alias("frequency"))
         return leaders_per_group(counts, ["customer_id"], [F.desc("frequency")])
     if by != "product_id":
         raise ValueError("by is 'product_name' or 'product_id'")
@@ -91,9 +96,19 @@ def favourite_products(sales: DataFrame, menu: DataFrame, by: str = "product_nam
 def _member_sales(
     sales: DataFrame, menu: DataFrame, members: DataFrame, when: Column
 ) -> DataFrame:
-    """Sales of members that satisfy a date test, with product name and price."""
-    theirs = sales.join(members, "customer_id").filter(when)
-    return theirs.join(menu, "product_id")
+    """Purchases of members that satisfy a date test, with product name and price.
+
+    One row for each customer, product and day, with the number of ``times``. They are dealt anew
+    after they met the members: that lets AQE split a hot customer in this join also where the menu
+    is broadcast, and no shuffle by product would follow.
+    """
+    theirs = _bought(sales, "order_date").join(members, "customer_id").filter(when)
+    return theirs.repartition("customer_id", "product_id").join(menu, "product_id")
+
+
+def _each_time() -> Column:
+    """One element for each time, to get a row for each purchase again."""
+    return F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))
 
 
 def _since_joining() -> Column:
@@ -107,9 +122,10 @@ def _before_joining() -> Column:
 def first_purchase_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """All products of a member's first buying day on or after joining."""
     bought = _member_sales(sales, menu, members, _since_joining())
-    return leaders_per_group(bought, ["customer_id"], [F.asc("order_date")]).select(
-        "customer_id", "product_name", "join_date", "order_date"
-    )
+    first = leaders_per_group(bought, ["customer_id"], [F.asc("order_date")])
+    return first.select(
+        "customer_id", "product_name", "join_date", "order_date", _each_time().alias("_")
+    ).drop("_")
 
 
 def first_purchase_before_join(
@@ -118,15 +134,16 @@ def first_purchase_before_join(
     """All products of a member's first buying day, if that is before joining."""
     bought = _member_sales(sales, menu, members, _before_joining())
     shown = ["customer_id", "product_name"] + (["join_date", "order_date"] if dates else [])
-    return leaders_per_group(bought, ["customer_id"], [F.asc("order_date")]).select(*shown)
+    first = leaders_per_group(bought, ["customer_id"], [F.asc("order_date")])
+    return first.select(*shown, _each_time().alias("_")).drop("_")
 
 
 def spend_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Items and amount per member before joining."""
     bought = _member_sales(sales, menu, members, _before_joining())
     return bought.groupBy("customer_id").agg(
-        F.count("product_id").alias("total_items_purchased"),
-        F.sum("price").alias("total_amount_spent"),
+        F.sum("times").alias("total_items_purchased"),
+        F.sum(F.col("price") * F.col("times")).cast("decimal(38,2)").alias("total_amount_spent"),
     )
 
 
@@ -138,8 +155,8 @@ def loyalty_points(
         "product_id",
         points(F.col("price"), is_bonus_product("product_id", bonus_products)).alias("worth"),
     )
-    earned = sales.select("customer_id", "product_id").join(worth, "product_id")
-    return earned.groupBy("customer_id").agg(F.sum("worth").alias("points"))
+    earned = _bought(sales).join(worth, "product_id")
+    return earned.groupBy("customer_id").agg(F.sum(F.col("worth") * F.col("times")).alias("points"))
 
 
 def promotion_points(
@@ -166,5 +183,5 @@ def promotion_points(
     bought = _member_sales(sales, menu, members, counted)
     bonus = days.between(0, BONUS_DAYS) | is_bonus_product("product_id", bonus_products)
     return bought.groupBy("customer_id").agg(
-        F.sum(points(F.col("price"), bonus)).alias("total_points")
+        F.sum(points(F.col("price"), bonus) * F.col("times")).alias("total_points")
     )

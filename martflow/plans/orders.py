@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.rules import delivery_charge, money, valid_distance
-from martflow.operators.buckets import bucket_of, dense_ids
+from martflow.operators.buckets import dense_ids
 from martflow.operators.stock import settle
 
 
@@ -59,14 +59,19 @@ def _charged(totals: DataFrame, deliveries: DataFrame) -> DataFrame:
 
 
 def allocate_stock(
-    requests: DataFrame, items: DataFrame, order_by: Sequence[str], chunk: Column | None = None, **kwargs
+    requests: DataFrame, items: DataFrame, order_by: Sequence[str], **kwargs
 ) -> DataFrame:
     """Additions to carts in order: accepted while the item's stock lasts, else refused.
 
     A refused request leaves the stock as it is, so a later, smaller one can still fit.
     """
     stock = items.select("item_id", F.col("quantity").alias("opening"))
-    return settle(requests, stock, ["item_id"], order_by, chunk=chunk, **kwargs)
+    return settle(requests, stock, ["item_id"], order_by, **kwargs)
+
+
+def accepted_lines(settled: DataFrame) -> DataFrame:
+    """The requests that went into a cart: what is billed, placed and taken from stock."""
+    return settled.filter("accepted").drop("accepted", "held")
 
 
 def settle_cart(
@@ -74,7 +79,6 @@ def settle_cart(
     limits: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    chunk: Column | None = None,
     **kwargs,
 ) -> DataFrame:
     """Additions (positive) and removals (negative) of a cart, in order.
@@ -83,7 +87,7 @@ def settle_cart(
     ``limits(keys..., opening)`` says how many units may be held. A removal of more than
     is held is refused; an accepted one goes back to stock.
     """
-    return settle(requests, limits, keys, order_by, chunk=chunk, **kwargs)
+    return settle(requests, limits, keys, order_by, **kwargs)
 
 
 def cart_contents(settled: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -93,12 +97,10 @@ def cart_contents(settled: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def placed_orders(
-    bills: DataFrame, stamp: Column | None = None, start_after: int = 0, width: int = 1_000_000
+    bills: DataFrame, stamp: Column | None = None, start_after: int = 0
 ) -> DataFrame:
     """Order headers with gapless new ids; the stored total includes delivery."""
-    numbered = dense_ids(
-        bills, ["order_id"], [bucket_of(bills, "order_id", width)], "id", start_after
-    )
+    numbered = dense_ids(bills, ["order_id"], "id", start_after)
     return numbered.select(
         "id",
         "order_id",
@@ -109,9 +111,12 @@ def placed_orders(
 
 
 def placed_order_lines(
-    headers: DataFrame, lines: DataFrame, start_after: int = 0, width: int = 1_000_000
+    headers: DataFrame, lines: DataFrame, start_after: int = 0
 ) -> DataFrame:
-    """Line rows of placed orders: one per order and item, quantities added up."""
+    """Line rows of placed orders: one per order and item, quantities added up.
+
+    ``lines`` are those in the cart (see ``accepted_lines``).
+    """
     per_item = lines.groupBy("order_id", "item_id").agg(
         F.sum(F.col("quantity").cast("bigint")).alias("quantity")
     )
@@ -119,13 +124,15 @@ def placed_order_lines(
         headers.select("order_id", F.col("id").alias("new_order_id")), "order_id"
     )
     placed = placed.select(F.col("new_order_id").alias("order_id"), "item_id", "quantity")
-    bucket = bucket_of(placed, "order_id", width)
-    numbered = dense_ids(placed, ["order_id", "item_id"], [bucket], "id", start_after)
+    numbered = dense_ids(placed, ["order_id", "item_id"], "id", start_after)
     return numbered.select("id", "order_id", "item_id", "quantity")
 
 
 def remaining_stock(items: DataFrame, movements: DataFrame) -> DataFrame:
-    """Stock after movements ``(item_id, quantity)``; positive takes, negative returns."""
+    """Stock after movements ``(item_id, quantity)``; positive takes, negative returns.
+
+    Movements are accepted requests, so that no stock goes below zero.
+    """
     moved = movements.groupBy("item_id").agg(
         F.sum(F.col("quantity").cast("bigint")).alias("_moved")
     )

@@ -15,7 +15,7 @@ from martflow.functions.dates import day_parts, guarded_date, stamp_date
 from martflow.operators.buckets import dense_ids
 from martflow.operators.mapping import apply_mapping, typed
 
-# Renaming that keeps the keys of the right side apart in a join.
+# Renaming that keeps the keys of the right side apart in a join.
 RIGHT_SALES_FIELDS = [
     ("store", "bigint", "right_store", "bigint"),
     ("dept", "bigint", "right_dept", "bigint"),
@@ -111,7 +111,7 @@ def dim_features(features: DataFrame, ids: str = "packed") -> DataFrame:
     """Feature measures with a ``feature_id``.
 
     ``ids="packed"`` uses ``feature_key``; ``ids="dense"`` counts 1, 2, 3, ... by store and
-    date, numbering one store-month at a time.
+    date.
     """
     measures = [c for c in features.columns if c not in ("store", "date", "isholiday")]
     return with_feature_id(features, ids).select("feature_id", *measures)
@@ -122,12 +122,12 @@ def with_feature_id(features: DataFrame, ids: str = "packed") -> DataFrame:
         return features.withColumn("feature_id", feature_key())
     if ids != "dense":
         raise ValueError("ids is 'packed' or 'dense'")
-    month = (F.year("date") * 12 + F.month("date")).alias("m")
-    return dense_ids(features, ["store", "date"], [F.col("store"), month], "feature_id")
+    return dense_ids(features, ["store", "date"], "feature_id")
 
 
 # -- facts ---------------------------------------------------------------------------
 
+# Columns of the fact table.
 FACT_NAMES = {"store": "store_id", "dept": "dept_id", "date": "date_id", "isholiday": "holiday_id"}
 FACT_COLUMNS = ("store", "dept", "date", "feature_id", "weekly_sales", "isholiday")
 
@@ -144,20 +144,34 @@ def fact_sales_all(
     new_sales: DataFrame,
     features_with_id: DataFrame,
     store_dimension: DataFrame,
-    date_dimension: DataFrame,
+    date_dimension: DataFrame | None = None,
 ) -> DataFrame:
     """Old and new sales together, limited to known features, stores and days.
 
     The dimensions only filter, so they are semi joins: duplicate dimension rows cannot
-    multiply sales.
+    multiply sales. Without a date dimension all days are known but the missing one, as they are
+    to a dimension made from the same sales.
     """
     columns = [c for c in FACT_COLUMNS if c != "feature_id"]
     sales = past_sales.select(*columns).unionByName(new_sales.select(*columns))
-    return (
-        fact_sales(sales, features_with_id)
-        .join(store_dimension.select("store_id"), "store_id", "left_semi")
-        .join(date_dimension.select("date_id"), "date_id", "left_semi")
-        .select(*[FACT_NAMES.get(c, c) for c in FACT_COLUMNS])
+    fact = fact_sales(sales.filter("date IS NOT NULL"), features_with_id).join(
+        store_dimension.select("store_id"), "store_id", "left_semi"
+    )
+    if date_dimension is not None:
+        fact = fact.join(date_dimension.select("date_id"), "date_id", "left_semi")
+    return fact.select(*[FACT_NAMES.get(c, c) for c in FACT_COLUMNS])
+
+
+def known_totals(past_sales: DataFrame, features: DataFrame) -> DataFrame:
+    """Sales that have features, summed by store, day and flag under the names of the fact.
+
+    For reports that need no single sale: rows are summed before they meet the features, of which
+    only the existence counts.
+    """
+    total = F.sum(F.col("weekly_sales").cast("decimal(18,2)")).cast("decimal(18,2)")
+    sums = past_sales.groupBy("store", "date", "isholiday").agg(total.alias("weekly_sales"))
+    return sums.join(features.select("store", "date"), ["store", "date"], "left_semi").select(
+        *[F.col(c).alias(FACT_NAMES.get(c, c)) for c in ("store", "date", "weekly_sales", "isholiday")]
     )
 
 

@@ -13,7 +13,7 @@ from martflow import fixtures as fx
 from martflow import schemas
 from martflow.functions.text import four_digit_year
 from martflow.operators import clean, ingest, quality
-from martflow.plans import loyalty, orders, products, reports, sensors, star
+from martflow.plans import jobs, loyalty, orders, products, reports, sensors, star
 from martflow.session import materialize, run_folder
 from martflow.sources import files, sinks, tables
 from martflow.streaming import changes
@@ -226,8 +226,7 @@ def full_profile(spark, folder):
 @query
 def label_profile(spark, folder):
     docs, labels = fx.table(spark, folder, "documents"), fx.table(spark, folder, "labels")
-    joined = docs.select("doc_id", "lang").join(labels, "doc_id", "left")
-    return quality.missing_counts(joined)
+    return quality.missing_counts(docs.join(labels, "doc_id", "left"))
 
 
 @query
@@ -244,13 +243,13 @@ def outlier_report(spark, folder):
 
 @query
 def quality_checks(spark, folder):
-    events = fx.table(spark, folder, "events").drop("props", "ts")
+    events = fx.table(spark, folder, "events")
     return quality.validate(events, ["value"])
 
 
 @query
 def quality_verdict(spark, folder):
-    events = fx.table(spark, folder, "events").drop("props", "ts")
+    events = fx.table(spark, folder, "events")
     return quality.verdict(quality.validate(events, ["value"]))
 
 
@@ -360,6 +359,34 @@ def next_load_key(spark, folder):
     )
 
 
+@query
+def incremental_job(spark, folder):
+    """Two runs over a growing file: the second finds the rows of the first in it again."""
+    run = run_folder(spark, "incremental")
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double, last_modified timestamp"
+    target = f"{run}/target"
+    spark.createDataFrame([], schema).write.parquet(target)
+    marks = ingest.MarkStore(spark, f"{run}/marks", "last_modified timestamp, o_orderkey bigint")
+    extracts = []
+    for k, rows in enumerate((orders.filter(F.col("o_orderkey") <= LAST_KEY), orders)):
+        sinks.write_csv(rows, f"{run}/source{k}")
+        feed = ingest.Feed(
+            name="orders",
+            source_path=f"{run}/source{k}",
+            target=lambda: spark.read.schema(schema).parquet(target),
+            append=lambda df: df.select(*[f.split()[0] for f in schema.split(", ")])
+            .write.mode("append").parquet(target),
+            extract_path=f"{run}/extract{k}",
+            order_by=["o_orderkey"],
+            marks=marks,
+        )
+        if ingest.run_incremental(spark, [feed])["orders"]:
+            extracts.append(f"{run}/extract{k}")
+    found = files.read_csv(spark, extracts, schema=schema)
+    return found.drop("last_modified")
+
+
 # -- star schema ---------------------------------------------------------------------
 
 
@@ -409,9 +436,7 @@ def dim_features(spark, folder):
 
 @query
 def dim_features_dense(spark, folder):
-    # Numbering reads its input twice, so an aggregated one is stored first.
-    features = materialize(fx.features(spark, folder), "features")
-    return star.dim_features(features, ids="dense")
+    return star.dim_features(fx.features(spark, folder), ids="dense")
 
 
 def _fact(spark, folder):
@@ -427,13 +452,14 @@ def fact_sales(spark, folder):
 
 @query
 def fact_sales_all(spark, folder):
-    past, new = fx.past_sales_text(spark, folder), fx.new_sales_text(spark, folder)
-    days = [d.withColumn("date", star.guarded_date("date")) for d in (past, new)]
+    # One narrow stored table serves both sales tables.
+    sales = fx.all_sales_text(spark, folder)
+    sales = materialize(sales.withColumn("date", star.guarded_date("date")), "sales")
     return star.fact_sales_all(
-        *days,
+        sales.filter("past"),
+        sales.filter("NOT past"),
         star.with_feature_id(fx.features(spark, folder)),
         star.dim_store(fx.store(spark, folder)),
-        star.dim_date(*days),
     )
 
 
@@ -459,20 +485,24 @@ def right_join_by_store(spark, folder):
 # -- reports -------------------------------------------------------------------------
 
 
+def _known_totals(spark, folder):
+    return star.known_totals(fx.past_sales(spark, folder), fx.features(spark, folder))
+
+
 @query
 def sales_over_time(spark, folder):
-    return reports.sales_over_time(_fact(spark, folder))
+    return reports.sales_over_time(_known_totals(spark, folder))
 
 
 @query
 def sales_by_month(spark, folder):
-    return reports.sales_by_month(_fact(spark, folder))
+    return reports.sales_by_month(_known_totals(spark, folder))
 
 
 @query
 def holiday_sales(spark, folder):
     return reports.holiday_sales(
-        _fact(spark, folder), star.dim_holiday(fx.past_sales(spark, folder))
+        _known_totals(spark, folder), star.dim_holiday(fx.past_sales(spark, folder))
     )
 
 
@@ -517,8 +547,19 @@ def cart_lines(spark, folder):
     )
 
 
+REQUEST_ORDER = ("order_id", "line_no", "supplier", "quantity")
+
+
+def _placed(spark, folder):
+    """Lines that went into a cart. A returned line asks for nothing, which is refused."""
+    asked = F.when(~F.col("returned"), F.col("quantity"))
+    requests = fx.lines(spark, folder).withColumn("quantity", asked).drop("returned")
+    settled = orders.allocate_stock(requests, fx.items(spark, folder), REQUEST_ORDER)
+    return materialize(orders.accepted_lines(settled), "accepted")
+
+
 def _totals(spark, folder):
-    return orders.order_totals(fx.lines(spark, folder), fx.items(spark, folder))
+    return orders.order_totals(_placed(spark, folder), fx.items(spark, folder))
 
 
 @query
@@ -536,9 +577,6 @@ def undeliverable_orders(spark, folder):
     return orders.undeliverable_orders(_totals(spark, folder), fx.deliveries(spark, folder))
 
 
-REQUEST_ORDER = ("order_id", "line_no", "supplier", "quantity")
-
-
 @query
 def stock_allocation(spark, folder):
     requests = fx.lines(spark, folder).drop("returned")
@@ -562,28 +600,27 @@ def cart_after_removals(spark, folder):
     return orders.cart_contents(_cart(spark, folder), ["item_id"])
 
 
-def _headers(spark, folder):
-    bills = orders.order_bills(_totals(spark, folder), fx.deliveries(spark, folder))
-    bills = materialize(bills, "bills")
+def _headers(spark, folder, lines):
+    totals = orders.order_totals(lines, fx.items(spark, folder))
+    bills = orders.order_bills(totals, fx.deliveries(spark, folder))
     stamp = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")
     return orders.placed_orders(bills, stamp)
 
 
 @query
 def placed_orders(spark, folder):
-    return _headers(spark, folder)
+    return _headers(spark, folder, _placed(spark, folder))
 
 
 @query
 def placed_order_lines(spark, folder):
-    headers = materialize(_headers(spark, folder), "headers")
-    return orders.placed_order_lines(headers, fx.lines(spark, folder))
+    lines = _placed(spark, folder)
+    return orders.placed_order_lines(_headers(spark, folder, lines), lines)
 
 
 @query
 def remaining_stock(spark, folder):
-    taken = fx.lines(spark, folder).filter(~F.col("returned"))
-    return orders.remaining_stock(fx.items(spark, folder), taken)
+    return orders.remaining_stock(fx.items(spark, folder), _placed(spark, folder))
 
 
 # -- change feed ---------------------------------------------------------------------
@@ -640,11 +677,18 @@ def captured_changes(spark, folder):
 @query
 def stream_changes_to_table(spark, folder):
     run = run_folder(spark, "changes")
-    rows = _decoded(fx.event_messages(fx.event_stream(spark, folder)))
+    feed = changes.readable(fx.event_feed(fx.event_stream(spark, folder)))
+    rows = changes.decode(feed, EVENT_SCHEMA)
     schema = rows.schema
     changes.to_table(rows, f"{run}/table", f"{run}/checkpoint").awaitTermination()
     stored = spark.read.schema(schema).parquet(f"{run}/table").drop("batch")
-    return changes.unique_changes(stored, ["event_id"])
+    latest = changes.unique_changes(stored, ["event_id"], "ts")
+    return latest.withColumn("date", changes.leading_date("ts")).drop("ts")
+
+
+@query
+def unreadable_changes(spark, folder):
+    return changes.unreadable(fx.event_feed(fx.table(spark, folder, "events")))
 
 
 @query
@@ -675,22 +719,122 @@ def typed_csv_roundtrip(spark, folder):
     return files.read_csv(spark, path, schema=rows.schema)
 
 
+def _scanned(spark, name):
+    """What a scan of the table finds; the definition goes, so that calls leave no tables behind."""
+    rows = materialize(tables.scan(spark, name), "scan")
+    tables.drop_table(spark, name)
+    return rows
+
+
+def _fresh_table(spark, kind):
+    path = run_folder(spark, kind)
+    return path, "martflow_" + path.rsplit("-", 1)[1]
+
+
 @query
 def orc_table_roundtrip(spark, folder):
-    path = run_folder(spark, "orc")
-    name = "martflow_" + path.rsplit("-", 1)[1]
+    path, name = _fresh_table(spark, "orc")
     store = star.dim_store(fx.store(spark, folder))
-    stored = tables.load_table(store, name, store.schema, path)
-    return stored
+    tables.load_table(store, name, store.schema, path)
+    return _scanned(spark, name)
 
 
 @query
 def external_csv_table(spark, folder):
-    path = run_folder(spark, "csv")
-    name = "martflow_" + path.rsplit("-", 1)[1]
+    path, name = _fresh_table(spark, "csv")
     rows = star.dim_date(fx.past_sales(spark, folder))
     sinks.write_csv(rows, path, header=False)
-    return files.register_external_csv(spark, name, rows.schema, path)
+    files.register_external_csv(spark, name, rows.schema, path)
+    return _scanned(spark, name)
+
+
+def _catalogued(spark, folder, fmt):
+    path, name = _fresh_table(spark, fmt)
+    rows = fx.past_sales(spark, folder).drop("last_modified")
+    for _ in range(2):  # written over: the second time replaces the first
+        tables.write_table(rows, name, fmt, path)
+    return _scanned(spark, name)
+
+
+@query
+def csv_table_with_catalog(spark, folder):
+    return _catalogued(spark, folder, "csv")
+
+
+@query
+def parquet_table_with_catalog(spark, folder):
+    return _catalogued(spark, folder, "parquet")
+
+
+@query
+def orc_table_overwritten(spark, folder):
+    return _catalogued(spark, folder, "orc")
+
+
+@query
+def inferred_csv(spark, folder):
+    path = run_folder(spark, "csv")
+    sinks.write_csv(fx.past_sales(spark, folder).drop("last_modified", "date"), path)
+    return files.read_csv(spark, path, infer=True)
+
+
+@query
+def ddl_csv(spark, folder):
+    path = run_folder(spark, "csv")
+    sinks.write_csv(fx.store(spark, folder), path)
+    return files.read_csv(spark, path, schema="store int, type string, size int")
+
+
+@query
+def recursive_csv(spark, folder):
+    path = run_folder(spark, "csv")
+    rows = fx.past_sales(spark, folder).drop("last_modified")
+    for flag in (True, False):
+        part = rows.filter(F.col("isholiday") == flag)
+        sinks.write_csv(part, f"{path}/sales/holiday_{flag}".lower())
+    return files.read_csv(spark, path, schema=rows.schema, recursive=True)
+
+
+@query
+def replaced_if_any(spark, folder):
+    """Replaced by all rows, then by none of them, which leaves the file as it is."""
+    path = run_folder(spark, "csv")
+    store = star.dim_store(fx.store(spark, folder))
+    for rows in (store.filter("store_id < 3"), store, store.filter("store_id IS NULL")):
+        sinks.write_csv_if_any(rows, path)
+    return files.read_csv(spark, path, schema=store.schema)
+
+
+@query
+def unloaded_tables(spark, folder):
+    path = run_folder(spark, "unload")
+    past = fx.past_sales(spark, folder)
+    parts = {"dim_date": star.dim_date(past), "dim_date_again": star.dim_date(past)}
+    jobs.unload(parts, path)
+    return files.read_csv(spark, f"{path}/*", schema=parts["dim_date"].schema, header=False)
+
+
+@query
+def appended_extract(spark, folder):
+    path = run_folder(spark, "csv")
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    for part in (F.col("o_orderkey") <= LAST_KEY, F.col("o_orderkey") > LAST_KEY):
+        sinks.write_csv(ingest.load_by_key(orders.filter(part), "o_orderkey"), path, mode="append")
+    return files.read_csv(spark, path, schema=orders.schema)
+
+
+@query
+def seeded_table(spark, folder):
+    """A declared table with two seed rows, the items appended, and its description counted."""
+    path, name = _fresh_table(spark, "items")
+    tables.create_external(spark, name, schemas.ITEMS, path, "PARQUET")
+    tables.append_rows(spark, name, [(-1, "sample one"), (-2, "sample two")], ["id", "item"])
+    items = fx.items(spark, folder).select(
+        F.col("item_id").cast("int").alias("id"), "item", F.col("cost").cast("decimal(10,2)").alias("cost"), "quantity"
+    )
+    items.write.insertInto(name)
+    columns = tables.describe(spark, name).count()
+    return _scanned(spark, name).withColumn("columns", F.lit(columns).cast("bigint"))
 
 
 @query

@@ -25,7 +25,7 @@ def _money() -> DecimalType:
     return DecimalType(10, 2)
 
 
-MARKDOWNS = tuple(f"markdown{i}" for i in range(1, 6))
+# Columns of the tables, in table order.
 
 # Loyalty
 SALES = _table(customer_id=StringType, order_date=DateType, product_id=IntegerType)
@@ -34,18 +34,15 @@ MEMBERS = _table(customer_id=StringType, join_date=DateType)
 
 # Products and sensors
 PRODUCTS = _table(
-    **dict.fromkeys(
-        (
-            "product_number",
-            "product_name",
-            "product_category",
-            "product_scale",
-            "product_manufacturer",
-            "product_description",
-        ),
-        StringType,
-    ),
-    **dict.fromkeys(("length", "width", "height"), DoubleType),
+    product_number=StringType,
+    product_name=StringType,
+    product_category=StringType,
+    product_scale=StringType,
+    product_manufacturer=StringType,
+    product_description=StringType,
+    length=DoubleType,
+    width=DoubleType,
+    height=DoubleType,
 )
 READINGS = {"sensor_id": "string", "date": "string", "temperature": "float"}
 
@@ -64,7 +61,15 @@ PAST_SALES = _table(
 FEATURES = _table(
     store=IntegerType,
     date=DateType,
-    **dict.fromkeys(("temperature", "fuel_price", *MARKDOWNS, "cpi", "unemployment"), FloatType),
+    temperature=FloatType,
+    fuel_price=FloatType,
+    markdown1=FloatType,
+    markdown2=FloatType,
+    markdown3=FloatType,
+    markdown4=FloatType,
+    markdown5=FloatType,
+    cpi=FloatType,
+    unemployment=FloatType,
     isholiday=BooleanType,
     last_modified=StringType,
 )
@@ -79,7 +84,15 @@ DIM_DEPARTMENT = _table(dept_id=IntegerType, last_modified=TimestampType)
 DIM_HOLIDAY = _table(holiday_id=BooleanType, last_modified=TimestampType)
 DIM_FEATURES = _table(
     feature_id=LongType,
-    **dict.fromkeys(("temperature", "fuel_price", *MARKDOWNS, "cpi", "unemployment"), FloatType),
+    temperature=FloatType,
+    fuel_price=FloatType,
+    markdown1=FloatType,
+    markdown2=FloatType,
+    markdown3=FloatType,
+    markdown4=FloatType,
+    markdown5=FloatType,
+    cpi=FloatType,
+    unemployment=FloatType,
     last_modified=TimestampType,
 )
 FACT_SALES = _table(

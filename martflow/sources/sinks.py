@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from martflow.functions.messages import as_message
+from martflow.session import materialize
 
 
 def write_csv(
@@ -21,13 +22,15 @@ def write_csv(
 
 
 def write_csv_if_any(df: DataFrame, path: str, **kwargs) -> bool:
-    """Replace the folder unless there is nothing to write; tells whether it wrote."""
-    target = path.rstrip("/") + "/"
-    if any(_plain(f).startswith(_plain(target)) for f in df.inputFiles()):
-        raise ValueError(f"{path} is read by the rows that would replace it")
-    if df.isEmpty():
+    """Replace the folder unless there is nothing to write; tells whether it wrote.
+
+    The rows are computed once: they are stored first, and the folder is replaced from there, so
+    that rows may also come from the folder itself.
+    """
+    rows = materialize(df, "csv")
+    if rows.isEmpty():
         return False
-    write_csv(df, path, mode="overwrite", **kwargs)
+    write_csv(rows, path, mode="overwrite", **kwargs)
     return True
 
 
@@ -44,7 +47,3 @@ def publish(df: DataFrame, fmt: str = "kafka", **options: str) -> None:
     writer = as_message(df).write.format(fmt).options(**options)
     (writer.mode("append") if fmt != "kafka" else writer).save()
 
-
-def _plain(path: str) -> str:
-    """Path without the variants of the local scheme, for comparison."""
-    return path.removeprefix("file://").replace("file:/", "/") if path.startswith("file:") else path

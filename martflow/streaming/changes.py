@@ -15,10 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from martflow.functions.dates import STAMP_FORMAT, leading_date, utc_stamp
-from martflow.functions.messages import as_message, parse_message
+from martflow.functions.messages import as_message, is_readable, parse_message
 from martflow.operators.ingest import MarkStore, fetch_since, high_water_mark
 from martflow.schemas import CHANGE_MESSAGE, SALES_CHANGES
 
+# Message fields and the columns they become.
 CHANGE_NAMES = {
     "Store": "store_id",
     "Dept": "dept",
@@ -51,13 +52,14 @@ def capture_changes(
     key: str | None = None,
     start=None,
     encode: Callable[[DataFrame], DataFrame] = as_message,
+    send: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
-    """One polling step: write the rows past the mark to a batch, then move the mark.
+    """One polling step: write the rows past the mark to a batch, send it, then move the mark.
 
     Rows and new mark come from the same written batch, so nothing that arrives in between
     is lost. A step that dies before the mark moves is repeated: its batch folder is named
-    after the old mark and gets replaced. Returns the messages of the batch; run it from a
-    scheduler, or as the ``foreachBatch`` of a ``rate`` stream.
+    after the old mark and gets replaced, and its messages are sent again (``unique_changes``
+    removes them). Returns the messages of the batch; without ``send`` the caller answers for them.
     """
     spark = table.sparkSession
     known = marks.load() or {"step": 0, mark: start, **({key: None} if key else {})}
@@ -66,21 +68,23 @@ def capture_changes(
     folder = f"{outbox.rstrip('/')}/step={step}"
     news.write.mode("overwrite").parquet(folder)
     batch = spark.read.schema(table.schema).parquet(folder)
+    messages = encode(batch)
+    if send:
+        send(messages)
     last = high_water_mark(batch, mark, key).first().asDict()
     if last[mark] is not None:
         marks.save(step=step, **last)
-    return encode(batch)
+    return messages
 
 
 def poll(
-    spark: SparkSession, step: Callable[[], DataFrame], send: Callable[[DataFrame], None],
-    checkpoint: str, every: str = "5 seconds",
+    spark: SparkSession, step: Callable[[], object], checkpoint: str, every: str = "5 seconds"
 ) -> StreamingQuery:
-    """Repeat a capture step on a timer: ``send(step())`` at every tick until stopped."""
+    """Repeat a capture step, which sends its messages itself, at every tick until stopped."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
     def tick(_: DataFrame, __: int) -> None:
-        send(step())
+        step()
 
     return start(ticks.writeStream.foreachBatch(tick), checkpoint, False, every)
 
@@ -106,6 +110,17 @@ def decode(messages: DataFrame, schema: StructType, value: str = "value") -> Dat
     return messages.select(parse_message(value, schema).alias("m")).select("m.*")
 
 
+def readable(messages: DataFrame, value: str = "value") -> DataFrame:
+    """The messages that are JSON objects; works on batch and stream."""
+    return messages.filter(is_readable(value))
+
+
+def unreadable(messages: DataFrame, value: str = "value") -> DataFrame:
+    """``(value, times)``: every other message text (NULL too), with how often it came."""
+    odd = messages.filter(~is_readable(value))
+    return odd.groupBy(value).agg(F.count("*").alias("times"))
+
+
 def decode_changes(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages to ``sales_changes`` rows. Unreadable dates and stamps become NULL."""
     rows = decode(messages, CHANGE_MESSAGE, value)
@@ -126,9 +141,19 @@ def without_replays(
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def unique_changes(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per message key of a stored table, however often a message was sent."""
-    return stored.dropDuplicates(list(keys))
+def unique_changes(stored: DataFrame, keys: Sequence[str], mark: str) -> DataFrame:
+    """The latest version of each key of a stored table, however often a message was sent.
+
+    Versions are ordered by ``mark``, versions of one mark by their other columns. Rows without a key
+    are no changes and are left out: ``unreadable`` tells of them.
+    """
+    others = [c for c in stored.columns if c not in (mark, *keys)]
+    newest = F.max(F.struct(mark, *others)).alias("_newest")
+    known = stored.dropna(subset=list(keys))
+    latest = known.groupBy(*keys).agg(newest)
+    return latest.select(
+        *[F.col(c) if c in keys else F.col(f"_newest.`{c}`").alias(c) for c in stored.columns]
+    )
 
 
 def to_table(

@@ -45,8 +45,8 @@ def test_csv_is_replaced_only_by_something(spark, tmp_path):
     assert sinks.write_csv_if_any(spark.range(3), path)
     assert not sinks.write_csv_if_any(spark.range(0), path)
     assert files.read_csv(spark, path).count() == 3
-    with pytest.raises(ValueError):
-        sinks.write_csv_if_any(files.read_csv(spark, path), path)
+    assert sinks.write_csv_if_any(files.read_csv(spark, path).filter("id > 0"), path)  # from itself
+    assert files.read_csv(spark, path).count() == 2
 
 
 def test_delimited_file(spark, tmp_path, rows):
@@ -183,32 +183,62 @@ def test_load_by_key(spark):
     assert ingest.new_last_key(nothing, "id", 117).first()[0] == 117
 
 
-def test_incremental_job_extracts_every_row_once(spark, tmp_path):
+@pytest.fixture
+def incremental(spark, tmp_path):
     source, target, extract = (str(tmp_path / n) for n in ("src", "target", "extract"))
     schema = "id int, v string, last_modified timestamp"
     spark.createDataFrame([], schema).write.parquet(target)
     marks = ingest.MarkStore(spark, str(tmp_path / "marks"), "last_modified timestamp, id int")
 
-    def feed():
-        return ingest.Feed(
-            name="t",
-            source_path=source,
-            target=lambda: spark.read.schema(schema).parquet(target),
-            append=lambda df: df.select("id", "v", "last_modified").write.mode("append").parquet(target),
-            extract_path=extract,
-            order_by=["id"],
-            n=3,
-            marks=marks,
-        )
-
-    seen = []
-    for low in (0, 5):
-        sinks.write_csv(
-            spark.range(low, low + 5).selectExpr("id", "concat('v', id) v"), source, "overwrite"
-        )
-        assert ingest.run_incremental(spark, [feed()]) == {"t": True}
-        seen += [int(r.id) for r in files.read_csv(spark, extract).collect()]
-    assert sorted(seen) == [0, 1, 2, 5, 6, 7]
+    def stored():
+        return spark.read.schema(schema).parquet(target)
+
+    def append(df):
+        df.select("id", "v", "last_modified").write.mode("append").parquet(target)
+
+    def run(n, append=append, with_marks=True):
+        feed = ingest.Feed("t", source, stored, append, extract, ["id"], n=n, marks=marks if with_marks else None)
+        if not ingest.run_incremental(spark, [feed])["t"]:
+            return []
+        return sorted(int(r.id) for r in files.read_csv(spark, extract).collect())
+
+    def write(low, high):
+        sinks.write_csv(spark.range(low, high).selectExpr("id", "concat('v', id) v"), source, "overwrite")
+
+    return write, run, stored, append
+
+
+@pytest.mark.parametrize("with_marks", [True, False])
+def test_incremental_job_goes_on_after_the_last_row(incremental, with_marks):
+    write, run, stored, _ = incremental
+    write(0, 250)
+    assert [len(run(100, with_marks=with_marks)) for _ in range(4)] == [100, 100, 50, 0]
+    assert sorted(r.id for r in stored().collect()) == list(range(250))
+
+
+def test_incremental_job_loads_all_by_default(incremental):
+    write, run, stored, _ = incremental
+    write(0, 250)
+    assert run(None) == list(range(250))
+    write(0, 300)  # the file grew
+    assert run(None) == list(range(250, 300))
+    assert run(None) == []
+    assert stored().count() == 300
+
+
+def test_incremental_job_extracts_what_an_interrupted_run_left(incremental):
+    write, run, stored, append = incremental
+    write(0, 5)
+    assert run(3) == [0, 1, 2]
+
+    def stop_after(df):
+        append(df)
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        run(3, stop_after)
+    assert run(3) == [3, 4]
+    assert stored().count() == 5
 
 
 def test_intermediate_tables_go_to_the_shared_folder(spark):

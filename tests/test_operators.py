@@ -24,20 +24,33 @@ def test_nth_and_leaders(spark, rows):
     assert rows(picks.top_k(df, [F.desc("v"), F.asc("id")], 2)) == [("a", 3, 1), ("b", 5, 4)]
 
 
-def test_dense_ids_number_a_skewed_table_without_gaps(spark):
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_dense_ids_number_a_skewed_table_without_gaps(spark, parts):
     rng = random.Random(5)
     data = {(1 if rng.random() < 0.4 else rng.randint(2, 30), rng.randint(0, 10_000)) for _ in range(600)}
     data |= {(None, n) for n in range(7)}
     df = spark.createDataFrame(list(data), "s int, n int")
-    got = buckets.dense_ids(
-        df, ["s", "n"], [F.col("s"), F.expr("n div 500")], "id", start_after=10
-    ).collect()
+    got = buckets.dense_ids(df, ["s", "n"], "id", start_after=10, parts=parts).collect()
     ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     assert {(r.s, r.n): r.id for r in got} == {k: i + 11 for i, k in enumerate(ordered)}
 
 
+@pytest.mark.parametrize("order", ["day", "number"])
+def test_ranges_follow_the_rows_whatever_their_values(spark, order):
+    """Dates of some years, and numbers spread over 64 bits, both come in ranges of about the same size."""
+    df = spark.range(4000).select(
+        F.expr("date_add(DATE '1990-01-01', cast(id as int) % 4000)").alias("day"),
+        F.xxhash64("id").alias("number"),
+    )
+    sizes = [r[1] for r in buckets.ranged(df, [order], "sizes", 8).groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * min(sizes)
+    ids = buckets.dense_ids(df, [order], "id", parts=8).orderBy(order).collect()
+    assert [r.id for r in ids] == list(range(1, 4001))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
 @pytest.mark.parametrize("by", [["k"], []])
-def test_forward_fill_across_buckets(spark, by):
+def test_forward_fill_across_ranges(spark, by, parts):
     rng = random.Random(2)
     keys = ["hot"] * 6 + ["b", None]
     data = [
@@ -45,7 +58,7 @@ def test_forward_fill_across_buckets(spark, by):
         for n in range(800)
     ]
     df = spark.createDataFrame(data, "k string, n int, v int")
-    got = buckets.forward_fill(df, "v", ["n"], F.expr("n div 10"), by)
+    got = buckets.forward_fill(df, "v", ["n"], by, parts)
     last, want = {}, {}
     for k, n, v in data:
         group = k if by else 0
@@ -55,28 +68,6 @@ def test_forward_fill_across_buckets(spark, by):
     assert got.columns == df.columns
 
 
-@pytest.mark.parametrize(
-    "kind,values",
-    [
-        ("bigint", ["-5", "0", "7", "1000"]),
-        ("date", ["1960-01-01", "1970-01-01", "2024-05-05"]),
-        ("timestamp", ["1999-01-01 00:00:00", "2024-05-05 10:00:00", "2024-05-05 10:00:01"]),
-        ("timestamp_ntz", ["1960-01-01 00:00:00", "2024-10-27 02:59:59", "2024-10-27 03:00:00"]),
-    ],
-)
-def test_buckets_keep_the_order(spark, kind, values):
-    df = spark.createDataFrame([(v,) for v in values], "t string").select(
-        F.col("t").cast(kind).alias("x")
-    )
-    got = [r[0] for r in df.orderBy("x").select(buckets.bucket_of(df, "x", 3)).collect()]
-    assert got == sorted(got)
-
-
-def test_buckets_need_a_known_type(spark):
-    with pytest.raises(TypeError):
-        buckets.bucket_of(spark.createDataFrame([("a",)], "x string"), "x", 3)
-
-
 def test_mapping_renames_types_and_drops(spark):
     df = spark.createDataFrame([("1", "2.5", "x")], "a string, b string, c string")
     out = apply_mapping(df, [("a", "string", "aa", "bigint"), ("b", "string", "b", "int")])

@@ -65,30 +65,39 @@ def test_unknown_keys_and_null_quantities_are_refused(spark):
     assert len(got) == 5
 
 
+@pytest.mark.parametrize("parts", [1, 2, 5, 13])
 @pytest.mark.parametrize("signed", [False, True])
-def test_hot_keys_in_chunks_equal_the_loop(spark, signed):
+def test_every_cut_equals_the_loop(spark, signed, parts):
     rng = random.Random(7 + signed)
     req = []
     for key, n in (("hot", 900), ("warm", 150), ("cold", 5), ("idle", 1)):
         for seq in rng.sample(range(5_000), n):
             q = rng.randint(1, 9)
             req.append((key, seq, -q if signed and rng.random() < 0.45 else q))
-    req += [("lost", s, 1) for s in range(200)]  # hot, but without stock
-    openings = {"hot": 60, "warm": 500, "cold": 10, "idle": 1}
+    req += [("lost", s, 1) for s in range(200)]  # many, but without stock
+    req += [("blank", s, 1) for s in range(60)] + [(None, s, 1) for s in range(60)]
+    req += [("gaps", s, None if s % 3 else 2) for s in range(90)]
+    openings = {"hot": 60, "warm": 500, "cold": 10, "idle": 1, "blank": None, "gaps": 9}
     requests, stock = frames(spark, req, openings)
     got = settle(
         requests,
         stock,
         ["k"],
         ["seq"],
-        chunk=F.expr("seq div 100"),
-        hot_rows=100,
         fan_in=3,
-        levels=3,
+        parts=parts,
     )
     assert answers(got) == one_by_one(req, openings)
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_requests_without_an_order_come_first(spark, parts):
+    req = [("a", None, 3)] + [("a", s, 1) for s in range(40)]
+    got = answers(settle(*frames(spark, req, {"a": 10}), ["k"], ["seq"], parts=parts))
+    assert got[("a", None)] == (True, 3)
+    assert [got[("a", s)] for s in (6, 7, 39)] == [(True, 10), (False, 10), (False, 10)]
+
+
 def test_chunk_functions_agree_with_every_start():
     rng = random.Random(3)
     for _ in range(30):

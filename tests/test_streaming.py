@@ -58,7 +58,37 @@ def test_restart_adds_no_row_twice(spark, feed, tmp_path):
     assert run().count() == 2
     add("b.txt", ONCE, PARTIAL)  # the first message sent again
     assert run().count() == 4
-    assert changes.unique_changes(run(), ["store_id"]).count() == 3
+    assert changes.unique_changes(run(), ["store_id"], "last_modified").count() == 3
+
+
+def test_the_latest_version_of_a_key_stays(spark, rows):
+    stored = spark.createDataFrame(
+        [(1, 5, "new"), (1, 3, "old"), (1, 5, "new"), (2, None, "x"), (None, 9, "lost")], "k int, m int, v string"
+    )
+    assert rows(changes.unique_changes(stored, ["k"], "m")) == [(1, 5, "new"), (2, None, "x")]
+
+
+def test_unreadable_messages_are_kept_apart(spark, rows):
+    texts = [ONCE, TWICE, PARTIAL, BROKEN, BROKEN, "", "7", '"text"', None]
+    df = spark.createDataFrame([(m,) for m in texts], "value string")
+    assert rows(changes.readable(df)) == sorted([(ONCE,), (TWICE,), (PARTIAL,)])
+    assert rows(changes.unreadable(df)) == [("", 1), ('"text"', 1), ("7", 1), (BROKEN, 2), (None, 1)]
+
+
+@pytest.mark.parametrize("digits", ["4", "40", "400000", "4000000"])
+def test_stamps_have_one_to_six_digits(spark, digits):
+    text = ONCE.replace(".400Z", f".{digits}Z")
+    got = changes.decode_changes(spark.createDataFrame([(text,)], "value string")).first().last_modified
+    assert got == (None if len(digits) > 6 else datetime(2024, 10, 22, 1, 2, 3, 400000))
+
+
+def test_stamps_do_not_depend_on_the_session_zone(spark):
+    df = changes.decode_changes(spark.createDataFrame([(ONCE,)], "value string")).selectExpr("unix_micros(last_modified)")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert df.first()[0] == 1_729_558_923_400_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_json_sink_appends(spark, feed, tmp_path):
@@ -133,6 +163,24 @@ def test_capture_moves_the_mark_with_the_rows(spark, tmp_path):
     assert marks.load()["id"] == 5
 
 
+def test_a_batch_that_was_not_sent_comes_again(spark, tmp_path):
+    table = spark.range(3).select("id", F.lit("2024-01-01").cast("timestamp").alias("last_modified"))
+    marks = MarkStore(spark, str(tmp_path / "marks"), "step int, last_modified timestamp, id bigint")
+
+    def step(send):
+        changes.capture_changes(table, str(tmp_path / "outbox"), marks, key="id", send=send)
+
+    def fail(messages):
+        raise RuntimeError("receiver is away")
+
+    with pytest.raises(RuntimeError):
+        step(fail)
+    sent = []
+    for _ in range(2):
+        step(lambda messages: sent.append(messages.count()))
+    assert sent == [3, 0]
+
+
 def test_polling_sends_each_change_once(spark, tmp_path):
     import time
 
@@ -141,8 +189,9 @@ def test_polling_sends_each_change_once(spark, tmp_path):
     sent = []
     query = changes.poll(
         spark,
-        lambda: changes.capture_changes(table, str(tmp_path / "outbox"), marks, key="id"),
-        lambda messages: sent.append(messages.count()),
+        lambda: changes.capture_changes(
+            table, str(tmp_path / "outbox"), marks, key="id", send=lambda m: sent.append(m.count())
+        ),
         str(tmp_path / "c"),
         every="1 second",
     )
