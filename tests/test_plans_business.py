@@ -340,7 +340,7 @@ def test_placed_orders_get_gapless_ids(basket, rows):
     bills = orders.order_bills(orders.order_totals(lines, items), deliveries)
     headers = orders.placed_orders(bills, start_after=100)
     assert rows(headers, "id", "order_id") == [(101, 7), (102, 8)]
-    placed = orders.placed_order_lines(headers, lines, width=1)
+    placed = orders.placed_order_lines(headers, lines)
     assert rows(placed) == [(1, 101, 1, 4), (2, 101, 2, 1), (3, 102, 1, 3)]
 
 
