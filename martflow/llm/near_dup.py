@@ -26,21 +26,27 @@ SHINGLE = 5
 SLOT_BITS = 7
 SLOTS = 1 << SLOT_BITS  # 128
 BAND = 4  # coordinates of a band: a pair at similarity 0.75 meets in no band once in 180,000
-SEEDS = mix(np.arange(1, 2 * SLOTS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
-VALUE = U((1 << 49) - 1)
-
-
-def sketch(elements: np.ndarray) -> np.ndarray:
-    """``SLOTS`` coordinates of a non-empty set of 64-bit hashes."""
-    out = np.zeros(SLOTS, U)
-    empty = np.ones(SLOTS, bool)
-    top, step = U(64 - SLOT_BITS), max(1, min(SLOTS, 1024 // len(elements)))
+LONG_BITS = 11  # a longer sketch, kept as one bit a slot, estimates the similarity of candidates
+LONG_SLOTS = 1 << LONG_BITS
+# The share of bits that agree is (1 + J) / 2; an estimate 0.07 below a similarity of 0.75 comes about once
+# in a million times.
+MARGIN = 0.07
+SEEDS = mix(np.arange(1, 2 * LONG_SLOTS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
+
+
+def sketch(elements: np.ndarray, slot_bits: int = SLOT_BITS) -> np.ndarray:
+    """The coordinates of a non-empty set of 64-bit hashes, 2 ** ``slot_bits`` of them."""
+    slots = 1 << slot_bits
+    out = np.zeros(slots, U)
+    empty = np.ones(slots, bool)
+    top, step = U(64 - slot_bits), max(1, min(slots, 4 * slots // len(elements)))
+    low = U(64 - 2 * slot_bits - 1)  # bits left for a value beside slot and round
     done = 0
-    while done < SLOTS and empty.any():
-        rounds = np.arange(done, min(SLOTS, done + step), dtype=U)
+    while done < slots and empty.any():
+        rounds = np.arange(done, min(slots, done + step), dtype=U)
         h = mix(elements[None, :] ^ SEEDS[done : done + len(rounds), None])
         # slot, round and value in one number: the least one of a slot comes first
-        key = ((h >> top) << top) | (rounds[:, None] << U(49)) | (h & VALUE)
+        key = ((h >> top) << top) | (rounds[:, None] << low) | (h & ((U(1) << low) - U(1)))
         key = np.sort(key, axis=None)
         slot = (key >> top).astype(np.intp)
         first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
@@ -49,7 +55,7 @@ def sketch(elements: np.ndarray) -> np.ndarray:
         empty[slot[first]] = False
         done += len(rounds)
     for s in np.flatnonzero(empty):
-        out[s] = mix(elements ^ SEEDS[SLOTS + s]).min()
+        out[s] = mix(elements ^ SEEDS[slots + s]).min()
     return out
 
 
@@ -80,24 +86,30 @@ def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def element_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> (node, elements)."""
+def element_sets(batches: Iterator[pa.RecordBatch], with_bits: bool) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> (node, elements, bits): the whole set, and one bit of each coordinate of a long sketch."""
     hashes = WordHashes()
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            sets = [shingle_set(space_words(data or b""), hashes, SHINGLE).view(np.int64) for data in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "elements"])
+            sets = [shingle_set(space_words(data or b""), hashes, SHINGLE) for data in part.column(1).to_pylist()]
+            bits = [np.packbits((mix(sketch(x, LONG_BITS)) & U(1)).astype(bool)).view(np.int64) if with_bits and len(x) else None for x in sets]
+            columns = [pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["node", "elements", "bits"])
 
 
-def linked_pairs(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar enough. Sets are made anew from the texts of
-    the documents concerned, so that no stage keeps the sets of all documents."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.join(wanted, docs["doc"] == wanted["node"], "left_semi").select("doc", utf8(F.col("text")).alias("text"))
+def sets_of(nodes: DataFrame, docs: DataFrame, with_bits: bool = False) -> DataFrame:
+    """(node, elements, bits): whole sets, made anew from the texts of the documents concerned only, so that
+    no stage keeps the sets of all documents."""
+    texts = docs.join(nodes, docs["doc"] == nodes["node"], "left_semi").select("doc", utf8(F.col("text")).alias("text"))
     kind = docs.schema["doc"].dataType.simpleString()
-    sets = texts.mapInArrow(element_sets, f"node {kind}, elements array<bigint>")
-    sets = materialize(sets, "near-dup-sets")
+    schema = f"node {kind}, elements array<bigint>, bits array<bigint>"
+    return materialize(texts.mapInArrow(lambda b: element_sets(b, with_bits), schema), "near-dup-sets")
+
+
+def linked_pairs(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("of_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("of_b")), "b")
     met, either = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
@@ -137,60 +149,104 @@ def similar_size(one: str, two: str, percent: int) -> Column:
     return 100 * F.least(one, two) >= percent * F.greatest(one, two)
 
 
-def class_links(classes: DataFrame, docs: DataFrame, percent: int, stars: int) -> DataFrame:
+def class_links(classes: DataFrame, docs: DataFrame, percent: int, stars: int, filters: int = 3) -> DataFrame:
     """Edges (a, b) between classes that span all links found in any band.
 
     First, every member of a bucket is compared with one centre of the bucket, a number of pairs in
-    proportion to its members; a few such rounds, each with another centre, join most of a large
-    group. Then, in buckets whose members still lie in different components, members of different
-    components are compared with each other; members of one component need no comparison.
+    proportion to its members. The centre is the member with the most company in all its buckets: of a
+    text and its edited copies, that is the one the others are closest to. What then still lies in one
+    bucket but in different components goes through a filter (see ``supported``); of the rest, members
+    of different components whose long sketches are close enough are compared. Members of one
+    component need no comparison.
     """
     rows = classes.select("node", "n", F.posexplode("bands").alias("band", "h")).drop("band")
     sizes = rows.groupBy("h").agg(F.count("*").alias("members")).where("members > 1")
-    rows = materialize(rows.join(sizes, "h").select("h", "node", "n"), "near-dup-buckets")
+    rows = materialize(rows.join(sizes, "h"), "near-dup-buckets")
+    company = materialize(rows.groupBy("node").agg(F.sum("members").alias("company")), "near-dup-company")
+    rows = materialize(rows.join(company, "node").select("h", "node", "n", "company"), "near-dup-buckets")
     found: list[DataFrame] = []
     tested: list[DataFrame] = []
-    labels = None
 
-    def edges_so_far() -> DataFrame:
-        return reduce(DataFrame.union, found)
-
-    for k in range(stars):
-        order = F.col("node") if k == 0 else F.xxhash64("node", F.lit(k))
-        heads = rows.groupBy("h").agg(F.min(F.struct(order.alias("o"), F.col("node"), F.col("n"))).alias("head"))
-        heads = heads.select("h", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
-        pairs = rows.join(heads, "h").where("a <> node").where(similar_size("n", "na", percent))
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    def compare(pairs: DataFrame) -> None:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near-dup-pairs")
         tested.append(pairs)
         found.append(materialize(linked_pairs(pairs, docs, percent), "near-dup-links"))
-        labels = components(edges_so_far())
-        rows, left = unresolved(rows, labels)
-        if not left:
-            return edges_so_far()
-    one = rows.select("h", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    two = rows.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    pairs = one.join(two, "h").where("a < b and ca <> cb").where(similar_size("na", "nb", percent)).select("a", "b").distinct()
-    for before in tested:
-        pairs = pairs.join(before, ["a", "b"], "left_anti")
-    pairs = materialize(pairs, "near-dup-pairs")
-    found.append(materialize(linked_pairs(pairs, docs, percent), "near-dup-links"))
-    return edges_so_far()
-
-
-def unresolved(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, bool]:
-    """The rows of buckets whose members lie in several components, and whether there are any."""
-    rows = rows.select("h", "node", "n")
-    named = rows.join(labels, "node", "left").select("h", "node", "n", F.coalesce("component", "node").alias("component"))
-    named = materialize(named, "near-dup-buckets")
-    split = named.groupBy("h").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    rows = materialize(named.join(split.select("h"), "h", "left_semi"), "near-dup-buckets")
-    return rows, not rows.isEmpty()
-
-
-def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, stars: int = 2) -> DataFrame:
+
+    for k in range(stars):
+        some = rows if k == 0 else rows.join(centres(rows).select("h", F.col("component").alias("main")), "h").where("component <> main")
+        heads = materialize(centres(some).select("h", F.col("node").alias("a"), F.col("n").alias("na")), "near-dup-centres")
+        pairs = rows.join(heads, "h").where("a <> node").where(similar_size("n", "na", percent))
+        compare(pairs.select("a", F.col("node").alias("b")))
+        rows = unresolved(rows, components(reduce(DataFrame.union, found)))
+        if rows.isEmpty():
+            return reduce(DataFrame.union, found)
+
+    rows = supported(rows, docs, percent, filters)
+    one, two = (
+        rows.select("h", *[F.col(c).alias(c + end) for c in ("n", "component", "support", "bits")], F.col("node").alias(end))
+        for end in "ab"
+    )
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k)))) for k in range(LONG_SLOTS // 64)])
+    able = similar_size("na", "nb", percent)
+    able &= (100 + percent) * F.least("supporta", "supportb") >= percent * (F.col("na") + F.col("nb"))
+    able &= F.coalesce(differ <= int(LONG_SLOTS * (1 - percent / 100 + MARGIN) / 2), F.lit(True))
+    compare(one.join(two, "h").where("a < b and componenta <> componentb").where(able).select("a", "b"))
+    return reduce(DataFrame.union, found)
+
+
+def centres(rows: DataFrame) -> DataFrame:
+    """Of each bucket, the member with the most company."""
+    order = ["company", "node", "n", *[c for c in rows.columns if c == "component"]]
+    return rows.groupBy("h").agg(F.max(F.struct(*order)).alias("top")).select("h", "top.*")
+
+
+def unresolved(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The rows of buckets whose members lie in several components."""
+    if labels is not None:
+        rows = rows.select("h", "node", "n", "company").join(labels, "node", "left")
+        rows = rows.withColumn("component", F.coalesce("component", "node"))
+        rows = materialize(rows, "near-dup-buckets")
+    split = rows.groupBy("h").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
+    split = materialize(split.select("h"), "near-dup-split")
+    return materialize(rows.join(split, "h", "left_semi"), "near-dup-buckets")
+
+
+def supported(rows: DataFrame, docs: DataFrame, percent: int, rounds: int) -> DataFrame:
+    """The rows that can still have a link, with their ``support``.
+
+    A set's support is the number of its elements that a set of another component among these rows
+    has. Two sets meet in no more elements than either's support, so a set of little support is similar
+    to none. Without it, others lose support: rounds go on while rows go. Exact: no link is lost.
+    """
+    sets = sets_of(rows.select("node").distinct(), docs, with_bits=True)
+    while True:
+        nodes = rows.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"))
+        least = rows.groupBy("h").agg(F.min("n").alias("least"))
+        partner = rows.select("h", "node").join(least, "h").groupBy("node").agg(F.min("least").alias("least"))
+        each = sets.join(nodes, "node").select("node", "component", F.explode("elements").alias("element"))
+        shared = each.groupBy("element").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+        shared = materialize(shared.where("c1 <> c2").select("element"), "near-dup-shared")
+        support = each.join(shared, "element", "left_semi").groupBy("node").agg(F.count("*").alias("support"))
+        keep = nodes.join(support, "node").join(partner, "node")
+        # A partner has at least the least size of the buckets, and of those that are similar enough.
+        size = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+        keep = keep.where((100 + percent) * F.col("support") >= percent * (F.col("n") + size))
+        # An id with several texts has no one sketch and is compared in full.
+        one = sets.groupBy("node").agg(F.count("*").alias("texts"), F.first("bits").alias("bits"))
+        keep = keep.join(one.select("node", F.when(F.col("texts") == 1, F.col("bits")).alias("bits")), "node")
+        keep = materialize(keep.select("node", "support", "bits"), "near-dup-support")
+        before = rows.count()
+        rows = unresolved(rows.drop("support", "bits").join(keep, "node"), None)
+        after = rows.count()
+        rounds -= 1
+        if not after or not rounds or after > 0.9 * before:
+            return rows
+
+
+def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, stars: int = 1) -> DataFrame:
     """One row (``doc_id``, ``n_shingles``, ``component_id``, ``kept``) for each row of ``docs``.
 
     Words are separated by ASCII white space, A-Z lower-cased. Documents are linked where their sets
