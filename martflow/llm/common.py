@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 from martflow.session import materialize, run_folder
 
 __all__ = [
-    "ASCII_SPACE",
     "fresh",
-    "fresh_names",
     "materialize",
-    "parallelism",
+    "places",
     "received",
     "remainder",
     "run_folder",
@@ -24,10 +22,6 @@ __all__ = [
     "utf8",
 ]
 
-# Java pattern of the white space that separates words (space, tab, line ends).
-ASCII_SPACE = r"[\x20\x09-\x0D]"
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -41,10 +35,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def fresh_names(df: DataFrame, *names: str) -> list[str]:
-    return [fresh(df, n) for n in names]
-
-
 def remainder(key: Column, parts: int) -> Column:
     """crc32 of the key as text, modulo ``parts`` (a null key counts as 0)."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % F.lit(parts), F.lit(0).cast("long"))
@@ -55,9 +45,9 @@ def utf8(text: Column) -> Column:
     return text.cast("string").cast("binary")
 
 
-def parallelism(df: DataFrame) -> int:
-    """Number of shuffle partitions of the session."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def places(n: int) -> list[str]:
+    """Names for the columns of a task's result, which Spark takes by place."""
+    return [f"c{i}" for i in range(n)]
 
 
 def sent(spark: SparkSession, value: object) -> Broadcast:

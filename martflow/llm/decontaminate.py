@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, received, sent, utf8
+from martflow.llm.common import fresh, places, received, sent, utf8
 from martflow.llm.words import LETTERS_AND_DIGITS, plain_words
 
 WINDOW = 13
@@ -186,7 +186,7 @@ def find_hits(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
                 pa.array(made, SPAN_TYPE),
                 pa.array([sorted(x) for x in names], items.type),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=places(batch.num_columns))
 
 
 def blocks(bench: DataFrame, text: str, item_id: str, block_bytes: int) -> Iterator[Automaton]:
@@ -258,7 +258,7 @@ def cut(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = places[s["end"] - 1][1]
                 data = b"".join([*parts, data[at:]])
             out.append(None if data is None else data.decode())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.string())], names=batch.schema.names[:-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.string())], names=places(batch.num_columns - 1))
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, text: str = "text", min_words: int = WINDOW, **options) -> DataFrame:

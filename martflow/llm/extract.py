@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, received, sent
+from martflow.llm.common import fresh, places, received, sent
 
 # Elements that hold no text of the page.
 SILENT = frozenset("script style noscript template title textarea select option iframe object svg math canvas audio video button".split())
@@ -283,7 +283,7 @@ def extract_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Re
         for first in range(0, whole.num_rows, 512):
             batch = whole.slice(first, 512)
             texts = [main_text(page, tree) for page in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=places(batch.num_columns))
 
 
 def extract(pages: DataFrame, source: str = "html", into: str = "text", keep: list[str] | None = None) -> DataFrame:

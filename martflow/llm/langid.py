@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, received, remainder, sent, utf8
+from martflow.llm.common import fresh, places, received, remainder, sent, utf8
 
 WINDOW = 256  # bytes
 UNKNOWN = "und"
@@ -153,7 +153,7 @@ def predict_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Re
                 for i, best, row in zip(some, p.argmax(axis=1), p):
                     names[i], scores[i] = network.languages[best], min(1.0, float(row[best]))
             columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=places(len(columns)))
 
 
 def cut_windows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, received, remainder, sent, utf8
+from martflow.llm.common import fresh, places, received, remainder, sent, utf8
 from martflow.llm.words import U, mix
 
 # Byte classes that features count, as the bytes they hold.
@@ -240,7 +240,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], shared, limit: int = 4_000_
                 held, size = [], 0
         if held:
             scores += model.quality(held).tolist()
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=places(batch.num_columns))
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, max_documents: int = 6000, max_lines: int = 1000) -> Field:

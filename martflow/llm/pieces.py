@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, received, sent
+from martflow.llm.common import fresh, places, received, sent
 
 MARK = "▁"  # fixed value: stands for a space in pieces
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -173,6 +173,7 @@ class Codec:
             return [text]
         if not self.simple:
             text = self.whole.normalizer.normalize_str(text).removeprefix(MARK).replace(MARK, " ")
+        text = text.replace(MARK, " ")  # both are a marker to the model
         found = (text.replace("\n", " \n") if self.lines else text).split(" ")
         if "" not in found:
             return found
@@ -197,7 +198,8 @@ class Codec:
         back = self.plain.decode_batch(coded, skip_special_tokens=False)
         strip = self.model.dummy_prefix
         for part, own, theirs, text, x in zip(parts, coded, other, back, inner):
-            if part and (own != (theirs[1:] if x else theirs) or self.simple and text != (" " + part)[strip:]):
+            same = not self.simple or MARK in part or text == (" " + part)[strip:]
+            if part and (own != (theirs[1:] if x else theirs) or not same):
                 self.differ.add(part)
         ends = np.cumsum([0, *map(len, coded)]) * 4
         flat = np.fromiter(chain.from_iterable(coded), np.int32, int(ends[-1]) // 4).tobytes()
@@ -255,7 +257,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             coded = codec.encode([t or "" for t in texts])
             ids = pa.array([None if t is None else x for t, (x, _) in zip(texts, coded)], pa.list_(pa.int32()))
             parity = pa.array([same for _, same in coded], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, parity], names=[*batch.schema.names[:-1], "ids", "parity"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, parity], names=places(batch.num_columns + 1))
 
 
 def decode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -265,7 +267,7 @@ def decode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
         for batch, ids in groups(whole, whole.num_columns - 1, codec.GROUP):
             texts = codec.decode([np.array([] if x is None else x, np.int32) for x in ids])
             texts = [None if x is None else t for x, t in zip(ids, texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=places(batch.num_columns))
 
 
 def digest_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -281,7 +283,7 @@ def digest_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
                 pa.array([p for _, p in coded], pa.bool_()),
                 pa.array([a == b for a, b in zip(texts, back)], pa.bool_()),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], "ids", "parity", "same"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=places(batch.num_columns + 2))
 
 
 def model_bytes(path: str) -> bytes:

@@ -39,7 +39,7 @@ def sha1(data: bytes) -> str:
 def one_token(text: str | None, other: bytes) -> bytes:
     """The text as a field of a header line: bytes that would end a field are escaped."""
     data = (text or "").encode()
-    return re.sub(rb"[\x00-\x20%\x7f]", lambda m: b"%%%02X" % m[0], data) or other
+    return re.sub(rb"[\x00-\x20%\x7f]", lambda m: b"%%%02X" % m[0][0], data) or other
 
 
 def untoken(data: bytes) -> str:
@@ -281,11 +281,12 @@ def convert(spark: SparkSession, arc: str, warc: str, min_bytes: int = 1000, new
     to meet the key it revisits.
     """
     index = materialize(read_arc(spark, arc, with_block=False).select("key", "digest", "size"), "arc-index")
-    order = F.col("key").cast("bigint") if newest is None else newest
-    large = index.where(F.col("size") >= min_bytes).select("key", "digest", order.alias("number"))
+    order = F.col("key").try_cast("bigint") if newest is None else newest
+    large = index.where(F.col("size") >= min_bytes).select("key", "digest", order.alias("number")).where("number is not null")
     kept = large.groupBy("digest").agg(F.max("number").alias("last"), F.count("*").alias("copies")).where("copies > 1")
     target = large.join(kept, "digest").where("number <> last")
     target = target.select("key", F.col("last").cast("string").alias("original")).distinct()
+    target = materialize(target, "arc-revisits")  # its size is known then, and decides how it is joined
     rows = read_arc(spark, arc).join(target, "key", "left").select("key", "url", "stamp", "digest", "block", "original")
     made = rows.mapInArrow(warc_records, "value binary").select(F.col("value").cast("string"))
     # The writer ends each value with what ends a WARC record.
