@@ -250,7 +250,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
     chosen = chosen.where("id is not null and label in (0, 1)").select(F.xxhash64("id").alias("order"), "id", "label")
     chosen = chosen.orderBy("order", "id", "label").limit(max_documents)
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.where(F.size(F.split("text", "\n")) <= max_lines).join(F.broadcast(chosen), "id")
+    ends = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    rows = rows.where(F.coalesce(ends, F.lit(0)) < max_lines).join(F.broadcast(chosen), "id")
     made = rows.select("order", "label", utf8(F.col("text")).alias("text")).mapInArrow(
         feature_batches, "order bigint, label int, lines bigint, features binary"
     )
