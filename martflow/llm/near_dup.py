@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import materialize, utf8
+from martflow.llm.common import materialize, received, sent, utf8
 from martflow.llm.words import U, WordHashes, mix, shingle_set, space_words
 
 SHINGLE = 5
@@ -86,30 +86,51 @@ def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def element_sets(batches: Iterator[pa.RecordBatch], with_bits: bool) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> (node, elements, bits): the whole set, and one bit of each coordinate of a long sketch."""
+def element_sets(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """(node, place, text) -> (node, elements): the whole sets of those whose place is marked."""
+    marked = received(shared)
     hashes = WordHashes()
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            sets = [shingle_set(space_words(data or b""), hashes, SHINGLE) for data in part.column(1).to_pylist()]
-            bits = [np.packbits((mix(sketch(x, LONG_BITS)) & U(1)).astype(bool)).view(np.int64) if with_bits and len(x) else None for x in sets]
-            columns = [pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["node", "elements", "bits"])
-
-
-def sets_of(nodes: DataFrame, docs: DataFrame, with_bits: bool = False) -> DataFrame:
-    """(node, elements, bits): whole sets, made anew from the texts of the documents concerned only, so that
-    no stage keeps the sets of all documents."""
-    texts = docs.join(nodes, docs["doc"] == nodes["node"], "left_semi").select("doc", utf8(F.col("text")).alias("text"))
+        wanted = batch.filter(pa.array(marked[batch.column(1).to_numpy()]))
+        for at in range(0, wanted.num_rows, 256):
+            part = wanted.slice(at, 256)
+            sets = [shingle_set(space_words(data or b""), hashes, SHINGLE).view(np.int64) for data in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "elements"])
+
+
+def sets_of(nodes: DataFrame, docs: DataFrame, most_bits: int = 27) -> DataFrame:
+    """(node, elements): whole sets of documents, made anew from their texts.
+
+    The texts are not moved: a table of bits, at most 16 MB, tells which ids may be among ``nodes``, and
+    only their sets are made. A few others are made with them; those drop out where sets are joined.
+    """
+    count = nodes.count()
+    size = 1 << min(most_bits, max(12, (16 * count).bit_length()))
+    place = F.pmod(F.xxhash64("node"), F.lit(size))
+    words = nodes.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")).collect()
+    table = np.zeros(size // 64, np.int64)
+    for r in words:
+        table[r["w"]] = r["bits"]
+    marked = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    shared = sent(docs.sparkSession, marked)
     kind = docs.schema["doc"].dataType.simpleString()
-    schema = f"node {kind}, elements array<bigint>, bits array<bigint>"
-    return materialize(texts.mapInArrow(lambda b: element_sets(b, with_bits), schema), "near-dup-sets")
+    texts = docs.where("doc is not null").select(F.col("doc").alias("node"), "text")
+    texts = texts.select("node", place.alias("place"), utf8(F.col("text")).alias("text"))
+    made = texts.mapInArrow(lambda b: element_sets(b, shared), f"node {kind}, elements array<bigint>")
+    return materialize(made, "near-dup-sets")
+
+
+def long_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, elements) -> (node, bits): one bit of each coordinate of a long sketch."""
+    for batch in batches:
+        sets = [np.array(x, np.int64).view(U) for x in batch.column(1).to_pylist()]
+        bits = [np.packbits((mix(sketch(x, LONG_BITS)) & U(1)).astype(bool)).view(np.int64) if len(x) else None for x in sets]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["node", "bits"])
 
 
-def linked_pairs(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
-    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("of_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("of_b")), "b")
     met, either = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
@@ -164,6 +185,7 @@ def class_links(classes: DataFrame, docs: DataFrame, percent: int, stars: int, f
     rows = materialize(rows.join(sizes, "h"), "near-dup-buckets")
     company = materialize(rows.groupBy("node").agg(F.sum("members").alias("company")), "near-dup-company")
     rows = materialize(rows.join(company, "node").select("h", "node", "n", "company"), "near-dup-buckets")
+    sets = sets_of(company.select("node"), docs)
     found: list[DataFrame] = []
     tested: list[DataFrame] = []
 
@@ -173,7 +195,7 @@ def class_links(classes: DataFrame, docs: DataFrame, percent: int, stars: int, f
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "near-dup-pairs")
         tested.append(pairs)
-        found.append(materialize(linked_pairs(pairs, docs, percent), "near-dup-links"))
+        found.append(materialize(linked_pairs(pairs, sets, percent), "near-dup-links"))
 
     for k in range(stars):
         some = rows if k == 0 else rows.join(centres(rows).select("h", F.col("component").alias("main")), "h").where("component <> main")
@@ -184,14 +206,18 @@ def class_links(classes: DataFrame, docs: DataFrame, percent: int, stars: int, f
         if rows.isEmpty():
             return reduce(DataFrame.union, found)
 
-    rows = supported(rows, docs, percent, filters)
+    rows = supported(rows, sets, percent, filters)
+    # A pair is made in one of the buckets that both lie in.
+    every = classes.groupBy("node").agg(F.flatten(F.collect_list("bands")).alias("bands"))
+    rows = rows.join(every, "node")
     one, two = (
-        rows.select("h", *[F.col(c).alias(c + end) for c in ("n", "component", "support", "bits")], F.col("node").alias(end))
+        rows.select("h", *[F.col(c).alias(c + end) for c in ("n", "component", "support", "bits", "bands")], F.col("node").alias(end))
         for end in "ab"
     )
     differ = reduce(lambda x, y: x + y, [F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k)))) for k in range(LONG_SLOTS // 64)])
     able = similar_size("na", "nb", percent)
     able &= (100 + percent) * F.least("supporta", "supportb") >= percent * (F.col("na") + F.col("nb"))
+    able &= F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("h")
     able &= F.coalesce(differ <= int(LONG_SLOTS * (1 - percent / 100 + MARGIN) / 2), F.lit(True))
     compare(one.join(two, "h").where("a < b and componenta <> componentb").where(able).select("a", "b"))
     return reduce(DataFrame.union, found)
@@ -214,14 +240,13 @@ def unresolved(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return materialize(rows.join(split, "h", "left_semi"), "near-dup-buckets")
 
 
-def supported(rows: DataFrame, docs: DataFrame, percent: int, rounds: int) -> DataFrame:
-    """The rows that can still have a link, with their ``support``.
+def supported(rows: DataFrame, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
+    """The rows that can still have a link, with their ``support`` and the ``bits`` of a long sketch.
 
     A set's support is the number of its elements that a set of another component among these rows
     has. Two sets meet in no more elements than either's support, so a set of little support is similar
     to none. Without it, others lose support: rounds go on while rows go. Exact: no link is lost.
     """
-    sets = sets_of(rows.select("node").distinct(), docs, with_bits=True)
     while True:
         nodes = rows.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"))
         least = rows.groupBy("h").agg(F.min("n").alias("least"))
@@ -234,16 +259,20 @@ def supported(rows: DataFrame, docs: DataFrame, percent: int, rounds: int) -> Da
         # A partner has at least the least size of the buckets, and of those that are similar enough.
         size = F.greatest("least", F.ceil(F.col("n") * percent / 100))
         keep = keep.where((100 + percent) * F.col("support") >= percent * (F.col("n") + size))
-        # An id with several texts has no one sketch and is compared in full.
-        one = sets.groupBy("node").agg(F.count("*").alias("texts"), F.first("bits").alias("bits"))
-        keep = keep.join(one.select("node", F.when(F.col("texts") == 1, F.col("bits")).alias("bits")), "node")
-        keep = materialize(keep.select("node", "support", "bits"), "near-dup-support")
+        keep = materialize(keep.select("node", "support"), "near-dup-support")
         before = rows.count()
-        rows = unresolved(rows.drop("support", "bits").join(keep, "node"), None)
+        rows = unresolved(rows.drop("support").join(keep, "node"), None)
         after = rows.count()
         rounds -= 1
         if not after or not rounds or after > 0.9 * before:
-            return rows
+            break
+    left = sets.join(rows.select("node").distinct(), "node", "left_semi").select("node", "elements")
+    kind = sets.schema["node"].dataType.simpleString()
+    bits = left.mapInArrow(long_sketches, f"node {kind}, bits array<bigint>")
+    # An id with several texts has no one sketch and is compared in full.
+    bits = bits.groupBy("node").agg(F.count("*").alias("texts"), F.first("bits").alias("bits"))
+    bits = materialize(bits.select("node", F.when(F.col("texts") == 1, F.col("bits")).alias("bits")), "near-dup-bits")
+    return rows.join(bits, "node")
 
 
 def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, stars: int = 1) -> DataFrame:
@@ -286,4 +315,5 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent:
 def kept_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each group: the rows of ``docs`` whose id is their component's, and those without an id."""
     gone = group(docs, text, doc_id, **options).where("not kept").select(F.col(doc_id).alias("gone")).distinct()
-    return docs.join(gone, docs[f"`{doc_id}`"] == gone["gone"], "left_anti")
+    # Sorted and merged at every size: the list grows with the corpus.
+    return docs.join(gone.hint("merge"), docs[f"`{doc_id}`"] == gone["gone"], "left_anti")
