@@ -146,9 +146,9 @@ class Codec:
     library as well.
     """
 
-    REMEMBER = 700_000  # parts of at most LONG characters, some 200 MB
+    REMEMBER = 300_000  # parts of at most LONG characters, some 80 MB
     LONG = 48
-    GROUP = 4_000_000  # characters of texts that are worked on at once
+    GROUP = 1_000_000  # characters of texts that are worked on at once
 
     def __init__(self, data: bytes):
         import sentencepiece
@@ -320,7 +320,7 @@ def checked(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL, kee
     to the text).
 
     Null and empty texts have no ids; both hold for them. A text that has the marker character itself
-    decodes to a space there. No shuffle; a task holds some two million characters at once, or one text.
+    decodes to a space there. No shuffle; a task holds some million characters at once, or one text.
     """
     keep = keep or list(docs.columns)
     into, body = fresh(docs, into), fresh(docs, "_text")
