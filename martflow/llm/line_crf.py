@@ -225,8 +225,8 @@ def feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def score_batches(batches: Iterator[pa.RecordBatch], shared, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """(..., text) -> (..., score); works on some four million bytes at once, or one longer text."""
+def score_batches(batches: Iterator[pa.RecordBatch], shared, limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """(..., text) -> (..., score); works on some million bytes at once, or one longer text."""
     model: Field = received(shared)
     for batch in batches:
         scores: list[float] = []
