@@ -73,7 +73,7 @@ def test_odd_rows(odd, none):
     got = sorted((tuple(r) for r in nd.group(odd).collect()), key=str)
     assert (1, 0, 1, True) in got and (2, 0, 2, True) in got and (3, 0, 3, True) in got
     assert (4, 1, 4, True) in got  # three words are one shingle
-    assert [r for r in got if r[0] == 6] == [(6, 9, 5, False)] * 2
+    assert [r for r in got if r[0] == 6] == [(6, 10, 5, False)] * 2
     assert [r[2:] for r in got if r[0] is None] == [(None, True)]
     kept = nd.kept_documents(odd)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 2
