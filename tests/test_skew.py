@@ -111,7 +111,7 @@ def final_plan(spark, make, **more):
     [
         ("first_purchase_after_join", "customer_id"),
         ("promo_points_first_week", "customer_id"),
-        ("order_totals", "item_id"),
+        ("cart_lines", "item_id"),
     ],
 )
 def test_hot_partitions_of_joins_can_be_split(spark, skewed, name, key):
