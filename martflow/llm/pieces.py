@@ -7,6 +7,8 @@ so that the parts of a text can be encoded on their own; parts that return are e
 
 from __future__ import annotations
 
+import gc
+import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -15,6 +17,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,10 +102,13 @@ class Model:
         """Whether no piece has a marker behind another character."""
         return self.escape and not any(MARK in text.lstrip(MARK) for text, _, kind in self.pieces if kind != CONTROL)
 
-    def tokenizer(self, normalise: bool = True):
+    def tokenizer(self, normalise: bool = True, like=None):
+        """``like``: a tokenizer of this model, whose tables are shared."""
         from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
-        if self.kind == UNIGRAM:
+        if like is not None:
+            out = Tokenizer(like.model)
+        elif self.kind == UNIGRAM:
             scored = [(text, score) for text, score, _ in self.pieces]
             out = Tokenizer(models.Unigram(scored, self.unk_id, self.byte_fallback))
         elif self.kind == BPE:
@@ -150,12 +156,14 @@ class Codec:
     LONG = 48
     GROUP = 1_000_000  # characters of texts that are worked on at once
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, threads: int = 2):
+        # Read when the library first encodes; a thread for every core of the machine would be too many.
+        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
 
         self.model = model = Model.parse(data)
         self.whole = model.tokenizer()
-        self.plain = model.tokenizer(normalise=False)
+        self.plain = model.tokenizer(normalise=False, like=self.whole)
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.cut = model.cuttable and model.dummy_prefix
         self.lines = self.cut and not any("\n" in text for text, _, _ in model.pieces)
@@ -239,14 +247,22 @@ class Codec:
 
 
 def groups(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """The batch in runs of rows whose texts have about ``limit`` characters, or of one long text."""
-    values = batch.column(column).to_pylist()
-    first = size = 0
-    for k, value in enumerate(values):
-        size += len(value or ())
-        if size >= limit or k == len(values) - 1:
-            yield batch.slice(first, k + 1 - first), values[first : k + 1]
-            first, size = k + 1, 0
+    """The batch in runs of rows whose texts have about ``limit`` bytes or ids, or of one long text."""
+    values = batch.column(column)
+    sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    total = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(values):
+        held = total[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(total, held + limit, "right")))
+        yield batch.slice(first, end - first), values.slice(first, end - first).to_pylist()
+        first = end
+
+
+def tidy() -> None:
+    """Give freed memory back: the task's process stays for other tasks, beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def encode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -258,6 +274,8 @@ def encode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             ids = pa.array([None if t is None else x for t, (x, _) in zip(texts, coded)], pa.list_(pa.int32()))
             parity = pa.array([same for _, same in coded], pa.bool_())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, parity], names=places(batch.num_columns + 1))
+    del codec
+    tidy()
 
 
 def decode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -268,6 +286,8 @@ def decode_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             texts = codec.decode([np.array([] if x is None else x, np.int32) for x in ids])
             texts = [None if x is None else t for x, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=places(batch.num_columns))
+    del codec
+    tidy()
 
 
 def digest_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -284,6 +304,8 @@ def digest_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
                 pa.array([a == b for a, b in zip(texts, back)], pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=places(batch.num_columns + 2))
+    del codec
+    tidy()
 
 
 def model_bytes(path: str) -> bytes:
