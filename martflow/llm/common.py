@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martflow.session import materialize, run_folder
 
 __all__ = [
+    "bound_batches",
     "fresh",
     "materialize",
     "places",
@@ -50,8 +51,20 @@ def places(n: int) -> list[str]:
     return [f"c{i}" for i in range(n)]
 
 
+def bound_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Texts are large rows: have at most ``rows`` of them in what a task is handed at once.
+
+    Spark's default of 10,000 rows holds tens of megabytes several times over, in the executor and in
+    the task. The setting stays for the session; a smaller one of its own is left as it is.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def sent(spark: SparkSession, value: object) -> Broadcast:
     """``value`` for every executor, classes included. Callers state why its size is bounded."""
+    bound_batches(spark)
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, materialize, utf8
+from martflow.llm.common import bound_batches, fresh, materialize, utf8
 
 STRIPPED = b" \t\n\x0b\x0c\r"
 
@@ -58,6 +58,7 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     Lines travel as hashes. The text is moved once, to meet the positions it loses; a document's
     positions meet in one group, a line's documents never do.
     """
+    bound_batches(docs.sparkSession)
     keep = keep or list(docs.columns)
     own, row, into = fresh(docs, "_doc"), fresh(docs, "_row"), fresh(docs, into)
     docs = docs.select(

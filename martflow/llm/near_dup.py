@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import materialize, received, sent, utf8
+from martflow.llm.common import bound_batches, materialize, received, sent, utf8
 from martflow.llm.words import U, WordHashes, mix, shingle_set, space_words
 
 SHINGLE = 5
@@ -284,6 +284,7 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent:
     repeat an id share its component. Shingles are compared by 64-bit hashes, sets equal in all by a
     128-bit hash. Equal sets become one class first, so copies cost one row each.
     """
+    bound_batches(docs.sparkSession)
     own, words = F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")
     plain = docs.select(own, words)
     kind = plain.schema["doc"].dataType.simpleString()
