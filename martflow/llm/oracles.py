@@ -1,5 +1,7 @@
 """SQL for those numbered queries that SQL can express, written for DuckDB."""
 
+from martflow.llm.quality_rules import CHAR_CLASSES, COMMON_WORDS, Rules, vocabulary
+
 SQL: dict[str, str] = {}
 
 SQL["op6_warc"] = """
@@ -100,3 +102,70 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS c
        coalesce(component_id, doc_id) = doc_id AS kept
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_id ON node = doc_id
 """
+
+
+def _rules() -> str:
+    """The rules of ``quality_rules`` with its fixed lists and limits."""
+    r = Rules()
+    words = ", ".join(f"'{w}'" for w in vocabulary())
+    langs = ", ".join(f"'{name}'" for name in COMMON_WORDS)
+    chars = ", ".join(
+        f"length(regexp_replace(j, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g'))" for pattern in CHAR_CLASSES.values()
+    )
+    return rf"""
+WITH doc AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), joined AS (
+  SELECT *, array_to_string(w, '') AS j, CAST(len(w) AS BIGINT) AS n,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM doc
+), places AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM joined WHERE len(w) >= 3)
+), again AS (
+  SELECT doc_id, g FROM places GROUP BY doc_id, g HAVING count(*) > 1
+), repeated AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 3)) AS place FROM places JOIN again USING (doc_id, g)) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, lang, n AS n_words, CAST(length(j) AS BIGINT) AS word_chars, [{chars}] AS c,
+         list_transform([{words}], lambda v: len(list_filter(w, lambda x: x = v))) AS k,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM joined LEFT JOIN repeated USING (doc_id)
+), based AS (
+  SELECT *, c[{list(CHAR_CLASSES).index("symbol") + 1}] AS n_symbols,
+         n_words < {r.min_words} OR 100 * n_repeat_words > {r.max_repeat_percent} * n_words AS base_failed
+  FROM counted
+), share AS (
+  SELECT doc_id, lang, base_failed, part, generate_subscripts(h, 1) AS i,
+         round(CAST(unnest(h) AS DOUBLE) * 1000000 / greatest(total, 1)) AS x
+  FROM (SELECT doc_id, lang, base_failed, 'chars' AS part, word_chars AS total,
+               list_append(c, word_chars - list_sum(c)) AS h FROM based
+        UNION ALL
+        SELECT doc_id, lang, base_failed, 'words', n_words, list_append(k, n_words - list_sum(k)) FROM based)
+), known AS (
+  SELECT lang AS known_lang, part, i, sum(x) AS s FROM share
+  WHERE lang IN ({langs}) AND NOT base_failed GROUP BY lang, part, i
+), reference AS (
+  SELECT known_lang, part, i, s / sum(s) OVER (PARTITION BY known_lang, part) AS q FROM known
+), far AS (
+  SELECT doc_id, part, known_lang, sqrt(greatest(sum(
+           CASE WHEN x > 0 THEN x / 1e6 * log2(2 * (x / 1e6) / (x / 1e6 + q)) ELSE 0 END
+           + CASE WHEN q > 0 THEN q * log2(2 * q / (x / 1e6 + q)) ELSE 0 END) / 2, 0)) AS d
+  FROM share JOIN reference USING (part, i) GROUP BY doc_id, part, known_lang
+), nearest AS (
+  SELECT doc_id, coalesce(min(d) FILTER (part = 'chars'), 0) AS dc, coalesce(min(d) FILTER (part = 'words'), 0) AS dw
+  FROM far GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (
+         (word_chars >= {r.char_guard} AND coalesce(dc, 0) > {r.char_limit})
+         OR (n_words >= {r.word_guard} AND coalesce(dw, 0) > {r.word_limit})
+         OR (word_chars >= {r.char_guard} AND n_words >= {r.word_guard}
+             AND coalesce(dc, 0) > {r.char_near} AND coalesce(dw, 0) > {r.word_near})) AS kept
+FROM based LEFT JOIN nearest USING (doc_id)
+"""
+
+
+SQL["op3_quality_rules"] = _rules()
