@@ -141,6 +141,18 @@ def test_base_scores_equal_brute_force(spark, documents, top_words):
         assert got[k].attention_score < 0
 
 
+def test_scores_do_not_depend_on_how_many_words_are_sent(spark, documents):
+    docs = spark.createDataFrame(documents, "doc_id bigint, text string").coalesce(1)
+    training = docs.where(F.col("doc_id") % 5 != 1)
+    got = [{r.doc_id: r.lm for r in lm.score(docs, training, top_words=n, rounds=1).collect()} for n in (lm.TOP_WORDS, 300, 0)]
+    assert len(got[0]) == len(documents)
+    for other in got[1:]:
+        for k, one in got[0].items():
+            assert (other[k].n_known, other[k].n_tokens) == (one.n_known, one.n_tokens)
+            for name in ("score", "base_score", "attention_score"):
+                assert math.isclose(other[k][name], one[name], rel_tol=1e-9), name
+
+
 def test_scores_of_held_out_documents_beat_the_counts(spark):
     got = [r for r in QUERIES["op1_lm_score"](spark, MEDIUM).collect() if r.held_out]
     assert all(remainder(r.doc_id, 5) == 1 for r in got)
