@@ -3,9 +3,12 @@
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from martflow.llm import attention, langid, line_crf, lm
@@ -160,6 +163,20 @@ def test_scores_of_held_out_documents_beat_the_counts(spark):
     assert sum(r.score > r.base_score for r in got) > 0.8 * len(got)
 
 
+def test_every_word_of_every_training_text_is_trained_on():
+    data = lm.model_bytes(lm.DEFAULT_MODEL)
+    class_of = np.arange(len(lm.Model.parse(data).pieces)) % 100 + 1
+    texts = [b"a short text", None, b"", b"one two " * 700, b"another short text"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    sent = [SimpleNamespace(value=cloudpickle.dumps(x)) for x in (data, class_of)]
+    codes = lm.PieceCodes(data)
+    codes.learn([w for t in texts for w in (t or b"").split()])
+    want = [bytes(class_of[i] for w in (t or b"").split() for i in codes[w]) + b"\0" for t in texts]
+    for limit in (1_000_000, 10):
+        got = [r for b in lm.training_runs(iter([batch]), *sent, limit=limit) for r in b.column(0).to_pylist()]
+        assert got == want
+
+
 def model():
     rng = np.random.default_rng(6)
     out = attention.Attention.fresh(rng.normal(size=(attention.CLASSES, attention.CLASSES)))
