@@ -177,6 +177,16 @@ def test_every_word_of_every_training_text_is_trained_on():
         assert got == want
 
 
+def test_the_network_has_its_full_size_and_half_the_weight():
+    names = [lm.MARK + "a", "b", "é", lm.MARK + "é"] * 100
+    found = lm.classes(np.arange(400, 0, -1.0), names)
+    assert sum(n == 1 for n in Counter(found.tolist()).values()) >= 159 and found.max() < 192
+    weights = attention.Attention.fresh(np.zeros((attention.CLASSES, attention.CLASSES))).weights
+    assert weights["place"].shape[0] == 2 and weights["out"].shape == (40, 192)
+    likely, unlikely = np.array([-2.0]), np.array([-50.0])
+    assert np.isclose(lm.mixture(likely, unlikely), -2 + math.log10(0.5)) and np.isclose(lm.mixture(unlikely, likely), -2 + math.log10(0.5))
+
+
 def model():
     rng = np.random.default_rng(6)
     out = attention.Attention.fresh(rng.normal(size=(attention.CLASSES, attention.CLASSES)))
