@@ -278,16 +278,16 @@ def convert(spark: SparkSession, arc: str, warc: str, min_bytes: int = 1000, new
 
     Of records with equal payloads of at least ``min_bytes`` bytes, the one with the greatest key (as a
     number) is the response and the others revisit it. Only digests are grouped; a payload is moved once,
-    to meet the key it revisits.
+    to meet the key it revisits; a key that has several payloads is met by each of them on its own.
     """
     index = materialize(read_arc(spark, arc, with_block=False).select("key", "digest", "size"), "arc-index")
     order = F.col("key").try_cast("bigint") if newest is None else newest
     large = index.where(F.col("size") >= min_bytes).select("key", "digest", order.alias("number")).where("number is not null")
     kept = large.groupBy("digest").agg(F.max("number").alias("last"), F.count("*").alias("copies")).where("copies > 1")
     target = large.join(kept, "digest").where("number <> last")
-    target = target.select("key", F.col("last").cast("string").alias("original")).distinct()
+    target = target.select("key", "digest", F.col("last").cast("string").alias("original")).distinct()
     target = materialize(target, "arc-revisits")  # its size is known then, and decides how it is joined
-    rows = read_arc(spark, arc).join(target, "key", "left").select("key", "url", "stamp", "digest", "block", "original")
+    rows = read_arc(spark, arc).join(target, ["key", "digest"], "left").select("key", "url", "stamp", "digest", "block", "original")
     made = rows.mapInArrow(warc_records, "value binary").select(F.col("value").cast("string"))
     # The writer ends each value with what ends a WARC record.
     made.write.option("compression", "gzip").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 10_000).text(warc)

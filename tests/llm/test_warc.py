@@ -70,3 +70,15 @@ def test_odd_rows(spark):
     got = sorted((tuple(r)[:1] + tuple(r)[3:5] for r in warc.archive(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == [(3, "response", None), (3, "response", None), (None, "response", None)]
     assert warc.archive(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_a_key_with_two_payloads_revisits_only_with_the_equal_one(spark):
+    def seen(rows):
+        got = warc.archive(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+        return sorted((r.key, r.payload_digest, r.record_type, r.refers_to) for r in got.collect())
+
+    x, y = ("x" * 2000, "y" * 2000)
+    a, b = (hashlib.sha1(t.encode()).hexdigest() for t in (x, y))
+    assert seen([(5, "u", x), (5, "u", y), (9, "u", x)]) == sorted([(5, a, "revisit", 9), (5, b, "response", None), (9, a, "response", None)])
+    both = [(5, "u", x), (5, "u", y), (9, "u", x), (8, "u", y)]
+    assert seen(both) == sorted([(5, a, "revisit", 9), (5, b, "revisit", 8), (9, a, "response", None), (8, b, "response", None)])
