@@ -148,8 +148,8 @@ class Codec:
 
     A part of a text is what follows a space, up to the next one; further spaces before it belong
     to it. Where no piece has a line end, a text is also cut before each, and such a part begins
-    with it. ``learn`` runs the tokenizers library on parts not seen lately, and asks the reference
-    library as well.
+    with it. ``learn`` runs the tokenizers library on parts not seen lately; the reference library
+    encodes every text whole, so that the cutting is compared as well.
     """
 
     REMEMBER = 300_000  # parts of at most LONG characters, some 80 MB
@@ -169,7 +169,6 @@ class Codec:
         self.lines = self.cut and not any("\n" in text for text, _, _ in model.pieces)
         self.simple = not (model.charsmap or model.squeeze)
         self.known: dict[str, bytes] = {}
-        self.differ: set[str] = set()  # parts on which the libraries differ
         self.bytes = [
             bytes([int(text[1:-1], 16)]) if kind == BYTE else text.replace(MARK, " ").encode()
             for text, _, kind in model.pieces
@@ -195,20 +194,13 @@ class Codec:
         return out
 
     def learn(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of each part, as bytes; notes where the reference library has others."""
+        """The ids of each part, as bytes."""
         inner = [self.lines and p.startswith("\n") for p in parts]
         if self.cut:
             texts = [p if x else MARK + p.replace(" ", MARK) for p, x in zip(parts, inner)]
             coded = [c.ids for c in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
         else:
             coded = [c.ids for c in self.whole.encode_batch_fast(parts, add_special_tokens=False)]
-        other = self.other.encode(parts, num_threads=1)
-        back = self.plain.decode_batch(coded, skip_special_tokens=False)
-        strip = self.model.dummy_prefix
-        for part, own, theirs, text, x in zip(parts, coded, other, back, inner):
-            same = not self.simple or MARK in part or text == (" " + part)[strip:]
-            if part and (own != (theirs[1:] if x else theirs) or not same):
-                self.differ.add(part)
         ends = np.cumsum([0, *map(len, coded)]) * 4
         flat = np.fromiter(chain.from_iterable(coded), np.int32, int(ends[-1]) // 4).tobytes()
         ends = ends.tolist()
@@ -218,7 +210,6 @@ class Codec:
         """(ids, parity) of each text. Empty texts have no ids."""
         if len(self.known) > self.REMEMBER:
             self.known.clear()
-            self.differ.clear()
         cut = [self.parts(t) if t else [] for t in texts]
         coded = [list(map(self.known.get, parts)) for parts in cut]
         missing = {p for parts, ids in zip(cut, coded) if None in ids for p, x in zip(parts, ids) if x is None}
@@ -229,10 +220,9 @@ class Codec:
                 [learnt[p] if x is None else x for p, x in zip(parts, ids)] if None in ids else ids
                 for parts, ids in zip(cut, coded)
             ]
-        return [
-            (np.frombuffer(b"".join(ids), np.int32), not self.differ or self.differ.isdisjoint(parts))
-            for parts, ids in zip(cut, coded)
-        ]
+        found = [np.frombuffer(b"".join(ids), np.int32) for ids in coded]
+        other = self.other.encode(texts, num_threads=1)
+        return [(ids, np.array_equal(ids, np.array(theirs, np.int32))) for ids, theirs in zip(found, other)]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """The texts of ids by the tokenizers library."""
@@ -297,7 +287,7 @@ def digest_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
         for batch, texts in groups(whole, whole.num_columns - 1, codec.GROUP):
             texts = [t or "" for t in texts]
             coded = codec.encode(texts)
-            back = [codec.text(x) for x, _ in coded]
+            back = codec.decode([x for x, _ in coded])
             columns = [
                 pa.array([x.tobytes() for x, _ in coded], pa.binary()),
                 pa.array([p for _, p in coded], pa.bool_()),

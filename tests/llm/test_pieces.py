@@ -1,8 +1,11 @@
 import struct
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark import cloudpickle
 
 from martflow.llm import pieces
 
@@ -92,3 +95,20 @@ def test_unknown_models_are_refused():
         pieces.Model.parse(field(2, field(3, 3))).tokenizer()
     with pytest.raises(ValueError):
         pieces.Model.parse(field(2, field(24, 1)))
+
+
+def test_checks_see_a_wrong_cut_and_a_wrong_decoder(monkeypatch):
+    data = pieces.model_bytes(pieces.DEFAULT_MODEL)
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words of a text", "", None])], names=["text"])
+    shared = SimpleNamespace(value=cloudpickle.dumps(data))
+
+    def checks():
+        done = next(pieces.digest_batches(iter([batch]), shared))
+        return done.column(1).to_pylist(), done.column(2).to_pylist()
+
+    assert checks() == ([True] * 3, [True] * 3)
+    with monkeypatch.context() as m:
+        m.setattr(pieces.Codec, "parts", lambda self, text: text.split(" ")[:-1])
+        assert checks() == ([False, True, True], [False, True, True])
+    monkeypatch.setattr(pieces.Codec, "decode", lambda self, ids: ["another"] * len(ids))
+    assert checks() == ([True] * 3, [False] * 3)
