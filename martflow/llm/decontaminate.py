@@ -251,11 +251,11 @@ def cut(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for data, spans in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             if data is not None and spans:
-                places = [m.span() for m in WORD.finditer(data.translate(LETTERS_AND_DIGITS))]
+                words = [m.span() for m in WORD.finditer(data.translate(LETTERS_AND_DIGITS))]
                 parts, at = [], 0
                 for s in spans:
-                    parts.append(data[at : places[s["start"]][0]])
-                    at = places[s["end"] - 1][1]
+                    parts.append(data[at : words[s["start"]][0]])
+                    at = words[s["end"] - 1][1]
                 data = b"".join([*parts, data[at:]])
             out.append(None if data is None else data.decode())
         yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.string())], names=places(batch.num_columns - 1))
