@@ -169,3 +169,81 @@ FROM based LEFT JOIN nearest USING (doc_id)
 
 
 SQL["op3_quality_rules"] = _rules()
+
+SQL["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, [CAST('0x' || substr(h, 8 * k + 1, 8) AS UBIGINT) FOR k IN range(4)] AS r FROM d
+), cut AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR r[3] % 100 >= 90 THEN 'plain'
+              WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, coalesce(array_to_string(u[1 : a], ''), '') AS p, coalesce(array_to_string(u[a + 1 : b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1 :], ''), '') AS s
+  FROM cut
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+# crc32 of each distinct word, byte by byte, with the table of its 256 remainders made first.
+SQL["op13_resample"] = r"""
+WITH remainders AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM range(256) x(i)
+), doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), raw AS (
+  SELECT doc_id, unnest(w) AS word FROM doc
+), wanted AS (
+  SELECT unnest(w) AS word FROM item
+), word AS (
+  SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM raw UNION SELECT word FROM wanted)
+), bucketed AS (
+  SELECT word, xor(list_reduce([CAST('0x' || substr(x, 2 * k + 1, 2) AS BIGINT) FOR k IN range(length(x) // 2)],
+         lambda c, v: xor(c >> 8, t[CAST(xor(c, v) & 255 AS INTEGER) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM word, remainders
+), s AS (
+  SELECT bucket, count(*) AS s FROM raw JOIN bucketed USING (word) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM wanted JOIN bucketed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT coalesce(sum(s), 0) FROM s) AS all_s, (SELECT coalesce(sum(t), 0) FROM t) AS all_t
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)::DOUBLE)
+         / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS g
+  FROM s FULL JOIN t USING (bucket), totals
+), weighed AS (
+  SELECT doc_id, count(*) AS n, CAST(sum(g) AS BIGINT) AS total
+  FROM raw JOIN bucketed USING (word) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features,
+         coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS UBIGINT)::DOUBLE
+              + 0.5) / 4294967296))) AS BIGINT) AS noise
+  FROM doc LEFT JOIN weighed USING (doc_id)
+), placed AS (
+  SELECT doc_id, n_features, weight, weight + noise AS score,
+         CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id) END AS place,
+         count(*) FILTER (n_features >= 20) OVER () AS eligible
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * eligible // 100 THEN place END AS rank FROM placed
+"""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, extract, langid, line_crf, line_dedup, lm, near_dup, pieces, quality_rules, warc
+from martflow.llm import (
+    decontaminate,
+    extract,
+    fim,
+    langid,
+    line_crf,
+    line_dedup,
+    lm,
+    near_dup,
+    pieces,
+    quality_rules,
+    resample,
+    shards,
+    warc,
+)
 from martflow.llm.common import remainder, table
 from martflow.llm.oracles import SQL
 
@@ -104,3 +118,39 @@ def op1_lm_score(spark, folder):
     held_out = remainder(F.col("doc_id"), 5) == 1
     scored = lm.score(docs, docs.where(~held_out), into="lm", keep=["doc_id"])
     return scored.select("doc_id", held_out.alias("held_out"), "lm.*")
+
+
+@query
+def op11_kd_shards(spark, folder):
+    placed = shards.assign(table(spark, folder, "documents"), shards=24, keep=["doc_id"])
+    return placed.select(
+        "doc_id",
+        "place.size",
+        "place.text_crc32",
+        F.lit("bytes").alias("law"),
+        "place.shard",
+        "place.slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op12_fill_in_middle(spark, folder):
+    cut = fim.rearrange(table(spark, folder, "documents"), keep=["doc_id"])
+    output, form = F.col("fim.output"), F.col("fim.form")
+    return cut.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fim.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_resample(spark, folder):
+    docs, bench = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    drawn = resample.resample(docs, bench, keep=["doc_id"])
+    return drawn.select("doc_id", "drawn.n_features", "drawn.weight", "drawn.score", "drawn.rank")

@@ -1,0 +1,148 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from martflow.llm import shards
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def places(df):
+    return df.select("doc_id", "place.*").collect()
+
+
+def gapless(rows):
+    found = defaultdict(list)
+    for r in rows:
+        found[r.shard].append(r.slot)
+    return all(sorted(v) == list(range(len(v))) for v in found.values())
+
+
+def code(v):
+    """The coordinate of a text or a whole number."""
+    if v is None:
+        return 0
+    return int.from_bytes(v.encode()[:6].ljust(6, b"\0"), "big") if isinstance(v, str) else v
+
+
+def brute(points, shards_, first=0, spread=None, allowed=None):
+    """The same tree over lists: points are (coordinates, text hash, id hash, size, doc_id)."""
+    if shards_ == 1:
+        return {p[4]: first for p in points}
+    half = shards_ // 2
+    if not points:
+        return {}
+    total = sum(p[3] for p in points)
+    dims = range(len(points[0][0]))
+    widths = [max(p[0][i] for p in points) - min(p[0][i] for p in points) for i in dims]
+    spread = spread or widths
+    allowed = 0 if allowed is None else allowed
+    axis = max(dims, key=lambda i: (widths[i] / max(spread[i], 1), -i))
+    ordered = sorted(points, key=lambda p: (p[0][axis], p[1], p[2]))
+    aim, before, cut = total * half / shards_, 0, len(ordered)
+    for k, p in enumerate(ordered):
+        if before + p[3] >= aim:
+            cut = k if aim - before <= before + p[3] - aim else k + 1
+            break
+        before += p[3]
+    left = brute(ordered[:cut], half, first, spread, allowed)
+    return left | brute(ordered[cut:], shards_ - half, first + half, spread, allowed)
+
+
+def hashed(spark, ids):
+    made = spark.createDataFrame([(i,) for i in ids], "i long")
+    rows = made.select("i", F.shiftrightunsigned(F.xxhash64(F.col("i").cast("string")), 4).alias("h")).collect()
+    return {r.i: r.h for r in rows}
+
+
+def test_equals_a_tree_over_lists(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(700):
+        text = "x" * rng.choice([0, 3, 5, 40, rng.randrange(3000)]) + rng.choice("abcdef")
+        rows.append((i, text, rng.choice(["en", "de", "fr", None]), rng.choice([len(text), None, -4])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    got = {r.doc_id: r.shard for r in places(shards.assign(docs, shards=11, tolerance=0))}
+    ids = hashed(spark, got)
+    points = [
+        ((code(lang), code(n)), zlib.crc32(t.encode()), ids[i], len(t) + 8, i) for i, t, lang, n in rows
+    ]
+    assert got == brute(points, 11)
+
+
+def test_small_folder_whole(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = places(shards.assign(docs, shards=24))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    assert gapless(rows)
+    total, biggest = Counter(), 0
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(data) + 8, zlib.crc32(data))
+        total[r.shard] += r.size
+        biggest = max(biggest, r.size)
+    mean = sum(total.values()) / 24
+    assert all(abs(total[s] - mean) <= biggest for s in range(24))
+
+
+def test_copies_share_a_shard_and_a_heavy_group_is_cut(spark):
+    rng = random.Random(1)
+    rows = [(i, "word " * rng.randrange(10, 900) + str(i)) for i in range(3000)]
+    rows += [(10_000 + i, "few copies " * 30) for i in range(4)]
+    rows += [(20_000 + i, "a third of all rows are this text " * 60) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    got = places(shards.assign(docs, shards=12, dimensions=["n_chars"]))
+    total = Counter()
+    for r in got:
+        total[r.shard] += r.size
+    mean = sum(total.values()) / 12
+    assert max(total.values()) < 1.01 * mean + 5_000 and min(total.values()) > 0.99 * mean - 5_000
+    assert len({r.shard for r in got if 10_000 <= r.doc_id < 20_000}) == 1
+    assert len({r.shard for r in got if r.doc_id >= 20_000}) > 3
+    assert gapless(got)
+
+
+def test_target_bytes_and_other_kinds_of_dimensions(spark):
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("y"), 92).alias("text"),
+        (F.col("id") * 1.5).alias("a"),
+        F.expr("date'2020-01-01' + cast(id % 50 as int)").alias("b"),
+        F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, 0, cast(id as int))").alias("c"),
+        F.expr("timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, 0, cast(id as int))").alias("d"),
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.lit(1e300)).alias("e"),
+    )
+    got = places(shards.assign(docs, target_bytes=4_000, dimensions=["a", "b", "c", "d", "e"]))
+    assert Counter(Counter(r.shard for r in got).values()) == {40: 10}
+    with pytest.raises(ValueError):
+        shards.assign(docs, target_bytes=1, dimensions=["a"])
+    with pytest.raises(ValueError):
+        shards.assign(docs, dimensions=["a"])
+
+
+def test_odd_rows(spark, odd, none):
+    docs = odd.withColumn("place", F.lit("taken")).withColumn("size", F.lit(1)).withColumn("shard", F.lit(2))
+    out = shards.assign(docs, shards=5)
+    assert out.columns[:-1] == docs.columns
+    rows = out.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r[-1]["size"] == len((r.text or "").encode()) + 8
+    assert len({r[-1]["shard"] for r in rows if r.doc_id == 6}) == 1
+    assert gapless([r[-1] for r in rows])
+    assert shards.assign(none, shards=5).count() == 0
+    same = spark.createDataFrame([(1, "t", "en", 1)] * 50, "doc_id long, text string, lang string, n_chars long")
+    got = places(shards.assign(same, shards=4))
+    assert len(got) == 50 and len({r.shard for r in got}) == 1 and gapless(got)
+
+
+def test_written_shards_hold_every_row(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    back = shards.write_shards(docs, str(tmp_path / "out"), shards=6, files=2)
+    want = {r.doc_id: r.shard for r in places(shards.assign(docs, shards=6))}
+    assert {r.doc_id: r.shard for r in back.select("doc_id", "shard").collect()} == want
+    assert back.drop("shard").exceptAll(docs).count() == 0
