@@ -92,6 +92,8 @@ def raw_events(spark, folder) -> DataFrame:
         F.when(n % 13 == 0, "NA").otherwise(F.col("event_type")).alias("event_type"),
         F.when(n % 17 == 0, "na").otherwise(F.col("value").cast("string")).alias("value"),
         F.when(n % 29 != 0, F.to_date("ts").cast("string")).alias("date"),
+        "ts",
+        "props",
         F.explode(copies).alias("_copy"),
     ).drop("_copy")
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.missing import SENTINELS, missing_test
 from martflow.operators.clean import z_bounds
+from martflow.operators.fingerprint import repeated_rows
 
 
 def missing_counts(df: DataFrame, sentinels: Sequence[str] = SENTINELS) -> DataFrame:
@@ -17,31 +18,29 @@ def missing_counts(df: DataFrame, sentinels: Sequence[str] = SENTINELS) -> DataF
 
 
 def duplicate_counts(df: DataFrame) -> DataFrame:
-    """One row: all rows, and rows beyond the first of each set of equal rows."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return copies.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
+    """One row: all rows, and rows beyond the first of each set of equal rows.
+
+    Fingerprints of the rows are counted when this is called; rows are compared in full only where
+    a fingerprint repeats.
+    """
+    return df.agg(
+        F.count("*").alias("row_count"), _rows_beyond_the_first(df).alias("duplicate_rows")
     )
 
 
+def _rows_beyond_the_first(df: DataFrame) -> Column:
+    return F.coalesce(repeated_rows(df).agg(F.sum(F.col("_n") - 1)).scalar(), F.lit(0))
+
+
 def profile(df: DataFrame, sentinels: Sequence[str] = SENTINELS) -> DataFrame:
     """``(metric, column, value)`` with row, duplicate and missing counts.
 
-    Equal rows are folded first (with partial counts before the shuffle); everything else
-    is summed over the folded rows, so the input is read once.
+    Rows and missing values are counted where they are; copies are found by fingerprint.
     """
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    sums = {
-        ("rows", ""): F.sum("_n"),
-        ("duplicates", ""): F.sum(F.col("_n") - 1),
-    }
+    sums = {("rows", ""): F.count("*"), ("duplicates", ""): _rows_beyond_the_first(df)}
     for c in df.columns:
-        hit = F.when(missing_test(df, c, sentinels), F.col("_n"))
-        sums[("missing", c)] = F.sum(hit)
-    row = copies.agg(
-        *[F.coalesce(s, F.lit(0)).cast("bigint").alias(f"_{i}") for i, s in enumerate(sums.values())]
-    )
+        sums[("missing", c)] = F.count_if(missing_test(df, c, sentinels))
+    row = df.agg(*[s.cast("bigint").alias(f"_{i}") for i, s in enumerate(sums.values())])
     cells = [
         F.struct(F.lit(m).alias("metric"), F.lit(c).alias("column"), F.col(f"_{i}").alias("value"))
         for i, (m, c) in enumerate(sums)

@@ -51,7 +51,8 @@ VIEWS = {
         SELECT event_id, user_id,
                CASE WHEN event_id % 13 = 0 THEN 'NA' ELSE event_type END AS event_type,
                CASE WHEN event_id % 17 = 0 THEN 'na' ELSE CAST(value AS VARCHAR) END AS value,
-               CASE WHEN event_id % 29 <> 0 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS date
+               CASE WHEN event_id % 29 <> 0 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS date,
+               ts, props
         FROM events""",
     "raw_events": "SELECT * FROM raw_once UNION ALL SELECT * FROM raw_once WHERE event_id % 100 = 0",
     "tidy": """
@@ -316,7 +317,9 @@ SQL["missing_profile"] = _with(
               count(*) FILTER (user_id IS NULL) AS user_id,
               count(*) FILTER (event_type IS NULL OR event_type IN ('NA', 'na')) AS event_type,
               count(*) FILTER (value IS NULL OR value IN ('NA', 'na')) AS value,
-              count(*) FILTER (date IS NULL OR date IN ('NA', 'na')) AS date
+              count(*) FILTER (date IS NULL OR date IN ('NA', 'na')) AS date,
+              count(*) FILTER (ts IS NULL) AS ts,
+              count(*) FILTER (props IS NULL OR props IN ('NA', 'na')) AS props
        FROM raw_events""",
 )
 SQL["duplicate_profile"] = _with(
@@ -334,7 +337,9 @@ SQL["full_profile"] = _with(
        UNION ALL SELECT 'missing', 'user_id', count(*) - count(user_id) FROM raw_events
        UNION ALL SELECT 'missing', 'event_type', count(*) FILTER (event_type = 'NA') FROM raw_events
        UNION ALL SELECT 'missing', 'value', count(*) FILTER (value = 'na') FROM raw_events
-       UNION ALL SELECT 'missing', 'date', count(*) - count(date) FROM raw_events""",
+       UNION ALL SELECT 'missing', 'date', count(*) - count(date) FROM raw_events
+       UNION ALL SELECT 'missing', 'ts', count(*) - count(ts) FROM raw_events
+       UNION ALL SELECT 'missing', 'props', count(*) - count(props) FROM raw_events""",
 )
 SQL["label_profile"] = """
     SELECT count(*) - count(d.doc_id) AS doc_id,
@@ -373,7 +378,8 @@ SQL["clean_drop_rows"] = _with(
     "raw_events",
     """SELECT event_id, user_id, event_type, round(CAST(value AS DOUBLE), 6) AS value,
               CAST(date AS DATE) AS date
-       FROM raw_events WHERE event_type <> 'NA' AND value <> 'na' AND date IS NOT NULL""",
+       FROM raw_events WHERE event_type <> 'NA' AND value <> 'na' AND date IS NOT NULL
+         AND ts IS NOT NULL AND props NOT IN ('NA', 'na')""",
 )
 SQL["impute_mean"] = _with(
     "tidy",
