@@ -419,6 +419,7 @@ SQL["merge_increment"] = _with(
         whole AS (SELECT * FROM tidy WHERE date IS NULL OR date < DATE '2024-01-20'
                   UNION SELECT * FROM ({_imputed('fresh')}))""",
 )
+SQL["merge_increment_stateful"] = SQL["clean_impute_rows"]
 SQL["merge_increment_drop"] = SQL["clean_drop_rows"]
 SQL["constraint_violations"] = """
     WITH rows AS (SELECT d.doc_id, lang, quality FROM documents d

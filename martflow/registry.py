@@ -12,7 +12,7 @@ from pyspark.sql.types import DecimalType
 from martflow import fixtures as fx
 from martflow import schemas
 from martflow.functions.text import four_digit_year
-from martflow.operators import clean, ingest, quality
+from martflow.operators import clean, curated, ingest, quality
 from martflow.plans import jobs, loyalty, orders, products, reports, sensors, star
 from martflow.session import materialize, run_folder
 from martflow.sources import files, sinks, tables
@@ -304,6 +304,19 @@ def merge_increment_drop(spark, folder):
     )
 
 
+@query
+def merge_increment_stateful(spark, folder):
+    """A history and two increments; the second sends some of the first rows again."""
+    raw = fx.raw_events(spark, folder)
+    rules = curated.Rules(["value"], ["event_type"], "date", ["event_id"], ["user_id"])
+    store = curated.Curated(spark, run_folder(spark, "curated"), raw.schema, rules)
+    day = F.coalesce("date", F.lit("2024-01-01"))
+    store.append(raw.filter(day < "2024-01-10"))
+    store.append(raw.filter((day >= "2024-01-10") & (day < "2024-01-20")))
+    store.append(raw.filter((day >= "2024-01-20") | (F.col("event_id") % 100 == 0)))
+    return _events_typed(store.read())
+
+
 @query
 def constraint_violations(spark, folder):
     docs, labels = fx.table(spark, folder, "documents"), fx.table(spark, folder, "labels")
