@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.operators.ledger import Ledger, not_loaded
 from martflow.session import materialize
 from martflow.sources.files import read_csv
 from martflow.sources.sinks import write_csv_if_any
@@ -118,9 +119,10 @@ class Feed:
     """One table of an incremental job.
 
     ``target`` reads the stored table, ``append`` adds rows to it. ``order_by`` starts with the
-    unique key, whose order is that of arrival: a run goes on after the greatest key stored, with at
-    most ``n`` rows (all by default). ``marks`` keeps the last *extracted* row, so that rows which a
-    run stored but did not extract come with the next one.
+    unique key. A run loads the source's rows whose key is not stored yet, late ones too, at most
+    ``n`` of them in that order (all by default); rows without a key are never loaded. With a
+    ``ledger``, only key ranges that differ from what it knows are compared. ``marks`` keeps the last
+    *extracted* row, so that rows which a run stored but did not extract come with the next one.
     """
 
     name: str
@@ -132,6 +134,7 @@ class Feed:
     mark: str = "last_modified"
     n: int | None = None
     marks: MarkStore | None = None
+    ledger: Ledger | None = None
     read_options: dict = field(default_factory=dict)
 
 
@@ -141,20 +144,26 @@ def run_incremental(
     """Append what is new, extract, move the mark, for each feed. Tells which feeds wrote an extract.
 
     The rows of a run are written once; the table, the extract and the mark all take them from there.
+    Stamps must grow from run to run, as extracts go by them.
     """
     wrote = {}
     for feed in feeds:
         key = feed.order_by[0]
         stored = feed.target()
-        last = stored.agg(F.max(key)).first()[0]
         known = feed.marks.load() if feed.marks else None
         if known is None:
             known = high_water_mark(stored, feed.mark, key).first().asDict()
+        if stamp is not None and known[feed.mark] is not None and stamp <= known[feed.mark]:
+            raise ValueError(f"the stamp {stamp} is not after that of an earlier run")
         source = read_csv(spark, feed.source_path, infer=True, **feed.read_options)
-        ahead = source if last is None else source.filter(F.col(key) > F.lit(last))
+        ledger = feed.ledger
+        opened = ledger.open_spans(source) if ledger else None
+        ahead = not_loaded(source, stored, key, opened, ledger.width) if ledger else not_loaded(source, stored, key)
         batch = materialize(stamp_new(ahead, feed.n, feed.order_by, stamp, feed.mark), "batch")
         if not batch.isEmpty():
             feed.append(batch)
+        if ledger:
+            ledger.record(feed.target(), opened)
         # Everything stored past the mark: this batch, and what an interrupted run left behind.
         news = fetch_since(feed.target(), feed.mark, known[feed.mark], None, key, known[key])
         news = materialize(news, "extract")

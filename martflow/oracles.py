@@ -450,6 +450,8 @@ SQL["load_by_key"] = """
 SQL["next_load_key"] = """
     SELECT coalesce(max(l_orderkey), 12000) AS last_key FROM lineitem WHERE l_orderkey > 12000"""
 
+SQL["incremental_files"] = """
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderkey % 3 AS part, o_orderkey % 3 AS batch FROM orders"""
 SQL["incremental_job"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
 
 # -- star schema ---------------------------------------------------------------------

@@ -12,11 +12,11 @@ from pyspark.sql.types import DecimalType
 from martflow import fixtures as fx
 from martflow import schemas
 from martflow.functions.text import four_digit_year
-from martflow.operators import clean, curated, ingest, quality
+from martflow.operators import clean, curated, ingest, ledger, quality
 from martflow.plans import jobs, loyalty, orders, products, reports, sensors, star
 from martflow.session import materialize, run_folder
 from martflow.sources import files, sinks, tables
-from martflow.streaming import changes
+from martflow.streaming import changes, discovery
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -374,15 +374,18 @@ def next_load_key(spark, folder):
 
 @query
 def incremental_job(spark, folder):
-    """Two runs over a growing file: the second finds the rows of the first in it again."""
+    """Two runs over a growing file: the second finds the rows of the first in it again, and late ones
+    whose keys lie between and below them."""
     run = run_folder(spark, "incremental")
     orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double, last_modified timestamp"
     target = f"{run}/target"
     spark.createDataFrame([], schema).write.parquet(target)
     marks = ingest.MarkStore(spark, f"{run}/marks", "last_modified timestamp, o_orderkey bigint")
+    known = ledger.Ledger(spark, f"{run}/ledger", "o_orderkey", width=1000)
     extracts = []
-    for k, rows in enumerate((orders.filter(F.col("o_orderkey") <= LAST_KEY), orders)):
+    early = (F.col("o_orderkey") > 100) & (F.col("o_orderkey") % 7 != 0)
+    for k, rows in enumerate((orders.filter(early & (F.col("o_orderkey") <= LAST_KEY)), orders)):
         sinks.write_csv(rows, f"{run}/source{k}")
         feed = ingest.Feed(
             name="orders",
@@ -393,6 +396,7 @@ def incremental_job(spark, folder):
             extract_path=f"{run}/extract{k}",
             order_by=["o_orderkey"],
             marks=marks,
+            ledger=known,
         )
         if ingest.run_incremental(spark, [feed])["orders"]:
             extracts.append(f"{run}/extract{k}")
@@ -400,6 +404,21 @@ def incremental_job(spark, folder):
     return found.drop("last_modified")
 
 
+@query
+def incremental_files(spark, folder):
+    """Three runs over a folder that grows; each reads new files only, and keys stored before stay out."""
+    run = run_folder(spark, "files")
+    orders = fx.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    n = F.col("o_orderkey")
+    for k, test in enumerate((n % 3 == 0, n % 3 == 1, (n % 3 == 2) | (n % 6 == 0))):
+        sinks.write_csv(orders.filter(test), f"{run}/source/part{k}")
+        found = discovery.new_files(spark, f"{run}/source", orders.schema)
+        discovery.load_new_files(found, f"{run}/target", f"{run}/checkpoint", "o_orderkey").awaitTermination()
+    stored = discovery.stored_rows(spark, f"{run}/target", found.schema)
+    named = F.regexp_extract(discovery.SOURCE_FILE, "part([0-9])/", 1).cast("bigint")
+    return stored.withColumn("part", named).drop(discovery.SOURCE_FILE)
+
+
 # -- star schema ---------------------------------------------------------------------
 
 
