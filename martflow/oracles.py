@@ -661,7 +661,14 @@ _MESSAGE = """'{"event_id":' || event_id || ',"user_id":' || user_id || ',"event
 SQL["changes_encoded"] = f"""
     SELECT CASE WHEN event_id % 2 = 0 THEN '"' || replace(m, '"', '\\"') || '"' ELSE m END AS value
     FROM (SELECT event_id, {_MESSAGE} AS m FROM events)"""
-for _name in ("changes_decoded", "stream_changes_to_table", "stream_changes_to_json", "json_roundtrip"):
+for _name in (
+    "changes_decoded",
+    "published_changes",
+    "stream_changes_logged",
+    "stream_changes_to_table",
+    "stream_changes_to_json",
+    "json_roundtrip",
+):
     SQL[_name] = _with("decoded", "SELECT * FROM decoded")
 SQL["unreadable_changes"] = """
     SELECT '{"event_id": ' || (event_id % 7) AS value,

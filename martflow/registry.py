@@ -708,6 +708,22 @@ def captured_changes(spark, folder):
 
 @query
 def stream_changes_to_table(spark, folder):
+    """Messages in three batches, versions of one key spread over them; read from the kept state."""
+    run = run_folder(spark, "changes")
+    messages = fx.event_feed(fx.table(spark, folder, "events"))
+    for k in range(3):
+        part = F.pmod(F.xxhash64("value"), F.lit(3)) == k
+        messages.filter(part).write.mode("append").text(f"{run}/topic")
+        feed = changes.readable(changes.read_changes(spark, "text", {"path": f"{run}/topic"}))
+        rows = changes.decode(feed, EVENT_SCHEMA)
+        changes.keep_latest(rows, ["event_id"], "ts", f"{run}/table", f"{run}/checkpoint").awaitTermination()
+    latest = changes.current_versions(spark, f"{run}/checkpoint", rows.columns)
+    return latest.withColumn("date", changes.leading_date("ts")).drop("ts")
+
+
+@query
+def stream_changes_logged(spark, folder):
+    """Every message stored by batch; the latest version of a key is looked for when the table is read."""
     run = run_folder(spark, "changes")
     feed = changes.readable(fx.event_feed(fx.event_stream(spark, folder)))
     rows = changes.decode(feed, EVENT_SCHEMA)
@@ -718,6 +734,14 @@ def stream_changes_to_table(spark, folder):
     return latest.withColumn("date", changes.leading_date("ts")).drop("ts")
 
 
+@query
+def published_changes(spark, folder):
+    """All events sent as messages to files, then read from there as a consumer does."""
+    run = run_folder(spark, "topic")
+    sinks.publish(fx.table(spark, folder, "events").drop("props"), "text", path=f"{run}/topic")
+    return _decoded(spark.read.text(f"{run}/topic"))
+
+
 @query
 def unreadable_changes(spark, folder):
     return changes.unreadable(fx.event_feed(fx.table(spark, folder, "events")))

@@ -163,6 +163,7 @@ def to_table(
     fmt: str = "parquet",
     until_done: bool = True,
     every: str = "5 seconds",
+    mode: str = "append",
 ) -> StreamingQuery:
     """Store every batch in its own folder ``batch=<id>`` of a table.
 
@@ -172,7 +173,41 @@ def to_table(
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.format(fmt).mode("overwrite").save(f"{path}/batch={batch_id}")
 
-    return start(stream.writeStream.foreachBatch(store), checkpoint, until_done, every)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(store)
+    return start(writer, checkpoint, until_done, every)
+
+
+def keep_latest(
+    stream: DataFrame,
+    keys: Sequence[str],
+    mark: str,
+    path: str,
+    checkpoint: str,
+    until_done: bool = True,
+    every: str = "5 seconds",
+) -> StreamingQuery:
+    """Keep the latest version of each key as keyed state, and log what each batch brought.
+
+    The state knows the version of every key, so a batch looks at its own keys only, however long the
+    table is, and a late version changes nothing. ``path`` gets the versions that hold after a batch for
+    the keys it touched, as ``batch=<id>``; ``current_versions`` reads the whole table. Versions are ordered
+    as in ``unique_changes``; rows without a key are left out.
+
+    The number of state partitions is that of ``spark.sql.shuffle.partitions`` at the first start. For more
+    keys than executors can hold in memory set ``spark.sql.streaming.stateStore.providerClass`` to Spark's
+    RocksDB provider.
+    """
+    latest = unique_changes(stream, keys, mark)
+    return to_table(latest, path, checkpoint, until_done=until_done, every=every, mode="update")
+
+
+def current_versions(spark: SparkSession, checkpoint: str, columns: Sequence[str]) -> DataFrame:
+    """The table that ``keep_latest`` keeps, read from its state: no version is compared again."""
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    keys = state.schema["key"].dataType.names
+    return state.select(
+        *[(F.col(f"key.`{c}`") if c in keys else F.col(f"value.max.`{c}`")).alias(c) for c in columns]
+    )
 
 
 def to_jdbc(

@@ -203,3 +203,35 @@ def test_polling_sends_each_change_once(spark, tmp_path):
     finally:
         changes.stop(query)
     assert sum(sent) == 3 and sent[0] == 3
+
+
+def message(k, day, store):
+    stamp = f"2024-10-{day:02}T00:00:00.000Z"
+    return ONCE.replace('"Store":1', f'"Store":{store}').replace('"Dept":2', f'"Dept":{k}').replace("2024-10-22T01:02:03.400Z", stamp)
+
+
+def test_versions_are_kept_by_key(spark, feed, tmp_path, rows):
+    """Late and repeated versions change nothing; a batch looks at the state of its own keys only."""
+    folder, add = feed
+    log, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
+
+    def run():
+        stream = changes.decode_changes(changes.read_changes(spark, "text", {"path": folder}))
+        query = changes.keep_latest(stream, ["dept"], "last_modified", log, checkpoint)
+        query.awaitTermination()
+        changes.stop(query)
+        return [s["numRowsUpdated"] for p in query.recentProgress for s in p["stateOperators"]]
+
+    def current():
+        found = changes.current_versions(spark, checkpoint, ["dept", "store_id", "last_modified"])
+        return {r.dept: (r.store_id, r.last_modified.day) for r in found.collect()}
+
+    add("a.txt", *[message(k, 5, 1) for k in range(200)], PARTIAL)
+    assert sum(run()) == 200
+    add("b.txt", message(3, 4, 2), message(4, 6, 3), message(4, 5, 9), message(900, 1, 4))
+    assert sum(run()) == 3
+    assert run() in ([], [0])
+    got = current()
+    assert len(got) == 201 and got[3] == (1, 5) and got[4] == (3, 6) and got[900] == (4, 1)
+    logged = spark.read.parquet(log).filter("batch > 0").select("dept", "store_id")
+    assert rows(logged) == [(3, 1), (4, 3), (900, 4)]
