@@ -719,3 +719,26 @@ SQL["seeded_table"] = f"""
            CAST(4 AS BIGINT) AS columns FROM part
     UNION ALL SELECT -1, 'sample one', NULL, NULL, 4
     UNION ALL SELECT -2, 'sample two', NULL, NULL, 4"""
+
+# -- checked and pinned CSV ----------------------------------------------------------
+
+SQL["csv_rejects"] = """
+    WITH f AS (SELECT l_orderkey % 83 = 0 OR l_orderkey % 79 = 0 AS a, l_orderkey % 97 = 0 AS q,
+                      l_orderkey % 89 = 0 AS d FROM lineitem)
+    SELECT 'arity' AS kind, '' AS "column", count(*) AS cells FROM f WHERE a HAVING count(*) > 0
+    UNION ALL SELECT 'type', 'l_quantity', count(*) FROM f WHERE q AND NOT a HAVING count(*) > 0
+    UNION ALL SELECT 'type', 'l_shipdate', count(*) FROM f WHERE d AND NOT a HAVING count(*) > 0
+    UNION ALL SELECT 'none', '', count(*) FROM f WHERE NOT a AND NOT q AND NOT d HAVING count(*) > 0"""
+SQL["pinned_rows"] = """
+    SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
+           floor(o_totalprice) + CASE WHEN o_orderkey % 2 = 1 THEN 0.5 ELSE 0 END AS price,
+           CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 END AS INTEGER) AS lane,
+           CASE WHEN o_orderkey % 2 = 1 THEN 'web' END AS channel
+    FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 11 <> 0"""
+SQL["schema_drift"] = """
+    WITH late AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 11 = 0) AS odd FROM orders WHERE o_orderkey % 2 = 1)
+    SELECT v.*, CASE WHEN v."column" = 'o_custkey' THEN odd ELSE 0 END AS cells
+    FROM late, (VALUES ('o_custkey', 'conflict', 'int', 'string'), ('price', 'wider', 'int', 'double'),
+                       ('lane', 'missing', 'int', NULL), ('channel', 'new', NULL, 'string'))
+               v("column", change, pinned, found)
+    WHERE n > 0"""

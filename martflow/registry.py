@@ -7,7 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from martflow import fixtures as fx
 from martflow import schemas
@@ -15,7 +15,7 @@ from martflow.functions.text import four_digit_year
 from martflow.operators import clean, curated, ingest, ledger, quality
 from martflow.plans import jobs, loyalty, orders, products, reports, sensors, star
 from martflow.session import materialize, run_folder
-from martflow.sources import files, sinks, tables
+from martflow.sources import checked, files, sinks, tables
 from martflow.streaming import changes, discovery
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -841,6 +841,58 @@ def ddl_csv(spark, folder):
     return files.read_csv(spark, path, schema="store int, type string, size int")
 
 
+@query
+def csv_rejects(spark, folder):
+    """All order lines as delimited text with planted faults, read under their declared types."""
+    path, n = run_folder(spark, "csv"), F.col("l_orderkey")
+    lines = fx.table(spark, folder, "lineitem")
+    cells = [
+        n.cast("string"),
+        F.col("l_linenumber").cast("string"),
+        F.when(n % 97 == 0, "n/a").otherwise(F.col("l_quantity").cast("string")),
+        F.when(n % 89 == 0, "2024-13-45").otherwise(F.to_date("l_shipdate").cast("string")),
+        F.when(n % 73 == 0, "").otherwise(F.col("l_returnflag")),
+    ]
+    whole = F.concat_ws(",", *cells)
+    short = F.concat_ws(",", *cells[:4])
+    text = F.when(n % 83 == 0, short).when(n % 79 == 0, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    lines.select(text).write.text(path)
+    schema = StructType.fromDDL("l_orderkey bigint, l_linenumber int, l_quantity double, l_shipdate date, l_returnflag string")
+    return checked.reject_summary(checked.read_csv_checked(spark, path, schema, header=False))
+
+
+def _pinned(spark, folder):
+    """Two files of orders: the second has a wider price, texts among the customers, a new and no old column."""
+    run, n = run_folder(spark, "pinned"), F.col("o_orderkey")
+    orders = fx.table(spark, folder, "orders").withColumn("price", F.floor("o_totalprice").cast("int"))
+    first = orders.filter(n % 2 == 0).select("o_orderkey", "o_custkey", "price", F.lit(1).alias("lane"))
+    odd = F.when(n % 11 == 0, "unknown").otherwise(F.col("o_custkey").cast("string"))
+    second = orders.filter(n % 2 == 1).select(
+        F.lit("web").alias("channel"), "o_orderkey", odd.alias("o_custkey"), (F.col("price") + 0.5).alias("price")
+    )
+    pins = checked.PinnedSchema(spark, f"{run}/types")
+    found = []
+    for k, rows in enumerate((first, second)):
+        sinks.write_csv(rows, f"{run}/file{k}")
+        found.append(pins.read(f"{run}/file{k}"))
+    return found
+
+
+@query
+def pinned_rows(spark, folder):
+    (one, _), (two, _) = _pinned(spark, folder)
+    rows = checked.fitting(one).unionByName(checked.fitting(two), allowMissingColumns=True)
+    return rows.select("o_orderkey", "o_custkey", F.col("price").cast("double").alias("price"), "lane", "channel")
+
+
+@query
+def schema_drift(spark, folder):
+    """How the second file differs from the pinned types, and how many of its cells did not fit."""
+    _, (rows, changes_found) = _pinned(spark, folder)
+    misfits = checked.reject_summary(rows).filter("kind = 'type'").select("column", "cells")
+    return changes_found.join(misfits, "column", "left").fillna({"cells": 0})
+
+
 @query
 def recursive_csv(spark, folder):
     path = run_folder(spark, "csv")
