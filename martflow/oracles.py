@@ -707,6 +707,14 @@ SQL["inferred_csv"] = _with(
 )
 SQL["ddl_csv"] = _with("store", "SELECT store, type, size FROM store")
 SQL["replaced_if_any"] = SQL["dim_store"]
+SQL["replaced_csv_if_any"] = SQL["dim_store"]
+SQL["fact_sales_by_month"] = _with(
+    "fact",
+    """SELECT store_id, dept_id, date_id, feature_id,
+              weekly_sales, holiday_id, CAST(year(date_id) AS INTEGER) AS year,
+              CAST(month(date_id) AS INTEGER) AS month
+       FROM fact""",
+)
 SQL["unloaded_tables"] = _with(
     "past_sales",
     f"""SELECT * FROM ({_days("past_sales", "date")}) UNION ALL

@@ -15,7 +15,7 @@ from martflow.functions.text import four_digit_year
 from martflow.operators import clean, curated, ingest, ledger, quality
 from martflow.plans import jobs, loyalty, orders, products, reports, sensors, star
 from martflow.session import materialize, run_folder
-from martflow.sources import checked, files, sinks, tables
+from martflow.sources import checked, files, sinks, tables, versioned
 from martflow.streaming import changes, discovery
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -905,7 +905,17 @@ def recursive_csv(spark, folder):
 
 @query
 def replaced_if_any(spark, folder):
-    """Replaced by all rows, then by none of them, which leaves the file as it is."""
+    """Replaced by all rows, then by none of them, which leaves the table as it is."""
+    store = star.dim_store(fx.store(spark, folder))
+    table = versioned.VersionedTable(spark, run_folder(spark, "csv"), store.schema, "csv", header="true")
+    for rows in (store.filter("store_id < 3"), store, store.filter("store_id IS NULL")):
+        table.replace_if_any(rows)
+    return table.read()
+
+
+@query
+def replaced_csv_if_any(spark, folder):
+    """The same with a plain folder, which is replaced in place."""
     path = run_folder(spark, "csv")
     store = star.dim_store(fx.store(spark, folder))
     for rows in (store.filter("store_id < 3"), store, store.filter("store_id IS NULL")):
@@ -913,6 +923,19 @@ def replaced_if_any(spark, folder):
     return files.read_csv(spark, path, schema=store.schema)
 
 
+@query
+def fact_sales_by_month(spark, folder):
+    """Facts stored by year and month, every second month first without its amounts and then replaced."""
+    path = run_folder(spark, "facts")
+    facts = _fact(spark, folder).drop("last_modified")
+    facts = materialize(facts.withColumns({"year": F.year("date_id"), "month": F.month("date_id")}), "facts")
+    even = F.col("month") % 2 == 0
+    wrong = F.when(~even, F.col("weekly_sales"))
+    versioned.replace_partitions(facts.withColumn("weekly_sales", wrong), path, ["year", "month"])
+    versioned.replace_partitions(facts.filter(even), path, ["year", "month"])
+    return spark.read.schema(facts.schema).parquet(path)
+
+
 @query
 def unloaded_tables(spark, folder):
     path = run_folder(spark, "unload")
