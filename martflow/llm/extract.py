@@ -1,16 +1,18 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut into blocks of text between block-level tags. A block has its word count, the share
-of its words in links, the same of its neighbours, and where it stands in the page. A decision tree,
-grown from a small labelled table, says which blocks are main text.
+of its words in links, the same of its neighbours, and what the elements around it say: tags, and
+words of their class and id. None of these decides alone. A decision tree, grown from a small
+labelled table, weighs them and says which blocks are main text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,7 @@ from martflow.llm.common import fresh, places, received, sent
 
 # Elements that hold no text of the page.
 SILENT = frozenset("script style noscript template title textarea select option iframe object svg math canvas audio video button".split())
+SILENT_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in SILENT}
 # Elements that begin or end a block.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -41,97 +44,171 @@ OUTSIDE_WORDS = frozenset(
 )
 # Words in class or id of what holds the article.
 INSIDE_WORDS = frozenset("article post entry story content".split())
+# Elements whose own lines are content more often than page furniture.
+LISTING = frozenset("table ul ol dl".split())
+# A tag ends at its '>' or before the next '<', so that a page of open tags is read once, not once for each.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|</?[a-zA-Z!][^<>]*\Z", re.S
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^<>]*>|</?[a-zA-Z!][^<>]*\Z", re.S
 )
 ATTRIBUTE = re.compile(r"""(?:\A|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-FEATURES = ("outside", "inside", "page_inside", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
-
-# The labelled table: the features in order, and whether the block is main text.
-LABELLED = [
-    # outside the main text by place: menus, page headers and footers, adverts, forms, comments
-    (1, 0, 1, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
-    (1, 0, 1, 0, 2, 1.0, 1, 1.0, 3, 1.0, 0),
-    (1, 0, 1, 0, 12, 0.0, 1, 1.0, 9, 0.0, 0),
-    (1, 0, 1, 0, 7, 0.0, 90, 0.0, 0, 0.0, 0),
-    (1, 1, 1, 0, 30, 0.0, 80, 0.0, 25, 0.1, 0),
-    (1, 1, 1, 0, 3, 0.7, 60, 0.0, 4, 1.0, 0),
-    (1, 1, 1, 1, 2, 0.0, 60, 0.0, 22, 0.0, 0),
-    (1, 0, 0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
-    (1, 0, 0, 0, 40, 0.0, 70, 0.0, 35, 0.0, 0),
-    (1, 0, 0, 0, 9, 0.1, 120, 0.0, 0, 0.0, 0),
-    (1, 0, 0, 1, 3, 0.0, 2, 1.0, 14, 0.0, 0),
-    (1, 1, 1, 0, 120, 0.0, 6, 0.0, 90, 0.0, 0),
-    (1, 0, 1, 0, 9, 0.0, 1, 1.0, 60, 0.0, 0),
-    (1, 0, 1, 0, 20, 0.0, 2, 1.0, 90, 0.0, 0),
-    (1, 0, 1, 0, 8, 0.0, 0, 0.0, 12, 0.0, 0),
-    (1, 0, 1, 1, 5, 0.0, 0, 0.0, 45, 0.0, 0),
-    (1, 0, 1, 0, 60, 0.0, 90, 0.0, 70, 0.0, 0),
-    (1, 0, 0, 0, 18, 0.0, 3, 1.0, 80, 0.0, 0),
-    (1, 0, 0, 0, 30, 0.0, 0, 0.0, 40, 0.0, 0),
-    (1, 0, 0, 1, 7, 0.0, 2, 0.0, 66, 0.0, 0),
-    (1, 0, 0, 0, 80, 0.0, 60, 0.0, 75, 0.0, 0),
-    (1, 0, 0, 0, 22, 0.1, 70, 0.0, 3, 1.0, 0),
-    (1, 0, 0, 0, 4, 0.0, 60, 0.0, 40, 0.0, 0),
-    (1, 0, 0, 0, 35, 0.0, 8, 0.0, 90, 0.0, 0),
-    (1, 1, 1, 0, 14, 0.0, 70, 0.0, 80, 0.0, 0),
-    (1, 1, 1, 0, 60, 0.0, 55, 0.0, 0, 0.0, 0),
-    (1, 1, 1, 1, 4, 0.0, 40, 0.0, 62, 0.0, 0),
-    (1, 1, 1, 0, 5, 1.0, 90, 0.0, 33, 0.0, 0),
+FEATURES = (
+    "tag", "strong", "weak", "around", "inside", "page_inside", "clean", "heading",
+    "words", "links", "words_before", "links_before", "words_after", "links_after",
+)
+
+# The labelled table. A row: inside an article, page with an article, heading, words, links, words and links of the
+# block before, words and links of the block after, main text or not.
+# Blocks within elements that are page furniture by their tag or by a whole word of their class, on pages that have
+# other text: menus, headers and footers, adverts, forms, comments.
+FURNITURE = [
+    (0, 1, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
+    (0, 1, 0, 2, 1.0, 1, 1.0, 3, 1.0, 0),
+    (0, 1, 0, 12, 0.0, 1, 1.0, 9, 0.0, 0),
+    (0, 1, 0, 7, 0.0, 90, 0.0, 0, 0.0, 0),
+    (1, 1, 0, 30, 0.0, 80, 0.0, 25, 0.1, 0),
+    (1, 1, 0, 3, 0.7, 60, 0.0, 4, 1.0, 0),
+    (1, 1, 1, 2, 0.0, 60, 0.0, 22, 0.0, 0),
+    (0, 0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
+    (0, 0, 0, 40, 0.0, 70, 0.0, 35, 0.0, 0),
+    (0, 0, 0, 9, 0.1, 120, 0.0, 0, 0.0, 0),
+    (0, 0, 1, 3, 0.0, 2, 1.0, 14, 0.0, 0),
+    (1, 1, 0, 120, 0.0, 6, 0.0, 90, 0.0, 0),
+    (0, 1, 0, 9, 0.0, 1, 1.0, 60, 0.0, 0),
+    (0, 1, 0, 20, 0.0, 2, 1.0, 90, 0.0, 0),
+    (0, 1, 0, 8, 0.0, 0, 0.0, 12, 0.0, 0),
+    (0, 1, 1, 5, 0.0, 0, 0.0, 45, 0.0, 0),
+    (0, 1, 0, 60, 0.0, 90, 0.0, 70, 0.0, 0),
+    (0, 0, 0, 18, 0.0, 3, 1.0, 80, 0.0, 0),
+    (0, 0, 0, 30, 0.0, 0, 0.0, 40, 0.0, 0),
+    (0, 0, 1, 7, 0.0, 2, 0.0, 66, 0.0, 0),
+    (0, 0, 0, 80, 0.0, 60, 0.0, 75, 0.0, 0),
+    (0, 0, 0, 22, 0.1, 70, 0.0, 3, 1.0, 0),
+    (0, 0, 0, 4, 0.0, 60, 0.0, 40, 0.0, 0),
+    (0, 0, 0, 35, 0.0, 8, 0.0, 90, 0.0, 0),
+    (1, 1, 0, 14, 0.0, 70, 0.0, 80, 0.0, 0),
+    (1, 1, 0, 60, 0.0, 55, 0.0, 0, 0.0, 0),
+    (1, 1, 1, 4, 0.0, 40, 0.0, 62, 0.0, 0),
+    (1, 1, 0, 5, 1.0, 90, 0.0, 33, 0.0, 0),
+]
+# Blocks that no element speaks against.
+PLAIN = [
     # inside the article, whatever its length
-    (0, 1, 1, 1, 9, 0.0, 12, 0.0, 10, 0.0, 1),
-    (0, 1, 1, 0, 10, 0.0, 9, 0.0, 64, 0.0, 1),
-    (0, 1, 1, 0, 1, 0.0, 80, 0.0, 75, 0.0, 1),
-    (0, 1, 1, 0, 2, 0.0, 3, 0.0, 7, 0.0, 1),
-    (0, 1, 1, 0, 250, 0.02, 70, 0.0, 31, 0.0, 1),
-    (0, 1, 1, 0, 45, 0.2, 250, 0.0, 8, 0.0, 1),
-    (0, 1, 1, 0, 4, 1.0, 60, 0.0, 70, 0.0, 1),
-    (0, 1, 1, 0, 24, 0.0, 55, 0.0, 1, 1.0, 1),
-    (0, 1, 1, 1, 1, 0.0, 1, 1.0, 0, 0.0, 1),
-    (0, 1, 1, 0, 3, 0.0, 0, 0.0, 0, 0.0, 1),
-    (0, 1, 1, 0, 60, 0.0, 40, 0.0, 0, 0.0, 1),
-    (0, 1, 1, 0, 160, 0.1, 0, 0.0, 0, 0.0, 1),
-    (0, 1, 1, 0, 90, 0.0, 2, 1.0, 0, 0.0, 1),
-    (0, 1, 1, 0, 7, 0.0, 2, 1.0, 1, 1.0, 1),
-    (0, 1, 1, 0, 15, 0.9, 3, 0.9, 12, 0.8, 1),
-    (0, 1, 1, 0, 40, 0.6, 1, 1.0, 70, 0.0, 1),
-    (0, 1, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0, 1),
-    (0, 1, 1, 1, 4, 0.0, 6, 0.0, 3, 0.0, 1),
+    (1, 1, 1, 9, 0.0, 12, 0.0, 10, 0.0, 1),
+    (1, 1, 0, 10, 0.0, 9, 0.0, 64, 0.0, 1),
+    (1, 1, 0, 1, 0.0, 80, 0.0, 75, 0.0, 1),
+    (1, 1, 0, 2, 0.0, 3, 0.0, 7, 0.0, 1),
+    (1, 1, 0, 250, 0.02, 70, 0.0, 31, 0.0, 1),
+    (1, 1, 0, 45, 0.2, 250, 0.0, 8, 0.0, 1),
+    (1, 1, 0, 4, 1.0, 60, 0.0, 70, 0.0, 1),
+    (1, 1, 0, 24, 0.0, 55, 0.0, 1, 1.0, 1),
+    (1, 1, 1, 1, 0.0, 1, 1.0, 0, 0.0, 1),
+    (1, 1, 0, 3, 0.0, 0, 0.0, 0, 0.0, 1),
+    (1, 1, 0, 60, 0.0, 40, 0.0, 0, 0.0, 1),
+    (1, 1, 0, 160, 0.1, 0, 0.0, 0, 0.0, 1),
+    (1, 1, 0, 90, 0.0, 2, 1.0, 0, 0.0, 1),
+    (1, 1, 0, 7, 0.0, 2, 1.0, 1, 1.0, 1),
+    (1, 1, 0, 15, 0.9, 3, 0.9, 12, 0.8, 1),
+    (1, 1, 0, 40, 0.6, 1, 1.0, 70, 0.0, 1),
+    (1, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0, 1),
+    (1, 1, 1, 4, 0.0, 6, 0.0, 3, 0.0, 1),
     # beside an article
-    (0, 0, 1, 0, 3, 0.0, 0, 0.0, 9, 0.0, 0),
-    (0, 0, 1, 0, 5, 0.0, 70, 0.0, 4, 0.0, 0),
-    (0, 0, 1, 0, 40, 0.0, 0, 0.0, 80, 0.0, 0),
-    (0, 0, 1, 1, 6, 0.0, 60, 0.0, 45, 0.0, 0),
-    (0, 0, 1, 0, 90, 0.0, 50, 0.0, 60, 0.0, 0),
-    (0, 0, 1, 0, 6, 0.0, 1, 1.0, 12, 0.0, 0),
-    (0, 0, 1, 0, 28, 0.0, 2, 1.0, 10, 0.0, 0),
-    (0, 0, 1, 1, 3, 0.0, 5, 1.0, 11, 0.0, 0),
-    (0, 0, 1, 0, 2, 1.0, 70, 0.0, 2, 1.0, 0),
-    (0, 0, 1, 0, 60, 0.1, 80, 0.0, 0, 0.0, 0),
-    (0, 0, 1, 0, 20, 0.0, 1, 1.0, 75, 0.0, 0),
-    (0, 0, 1, 0, 18, 0.0, 0, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 3, 0.0, 0, 0.0, 9, 0.0, 0),
+    (0, 1, 0, 5, 0.0, 70, 0.0, 4, 0.0, 0),
+    (0, 1, 0, 40, 0.0, 0, 0.0, 80, 0.0, 0),
+    (0, 1, 1, 6, 0.0, 60, 0.0, 45, 0.0, 0),
+    (0, 1, 0, 90, 0.0, 50, 0.0, 60, 0.0, 0),
+    (0, 1, 0, 6, 0.0, 1, 1.0, 12, 0.0, 0),
+    (0, 1, 0, 28, 0.0, 2, 1.0, 10, 0.0, 0),
+    (0, 1, 1, 3, 0.0, 5, 1.0, 11, 0.0, 0),
+    (0, 1, 0, 2, 1.0, 70, 0.0, 2, 1.0, 0),
+    (0, 1, 0, 60, 0.1, 80, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 20, 0.0, 1, 1.0, 75, 0.0, 0),
+    (0, 1, 0, 18, 0.0, 0, 0.0, 0, 0.0, 0),
     # pages that mark no article: long blocks, and short ones next to them
-    (0, 0, 0, 0, 120, 0.0, 0, 0.0, 0, 0.0, 1),
-    (0, 0, 0, 0, 70, 0.0, 50, 0.0, 0, 0.0, 1),
-    (0, 0, 0, 0, 33, 0.1, 3, 1.0, 28, 0.0, 1),
-    (0, 0, 0, 0, 26, 0.0, 40, 0.0, 5, 1.0, 1),
-    (0, 0, 0, 0, 80, 0.0, 60, 0.0, 75, 0.0, 1),
-    (0, 0, 0, 0, 35, 0.05, 8, 0.0, 90, 0.0, 1),
-    (0, 0, 0, 0, 22, 0.1, 70, 0.0, 3, 1.0, 1),
-    (0, 0, 0, 0, 18, 0.0, 0, 0.0, 0, 0.0, 1),
-    (0, 0, 0, 1, 7, 0.0, 2, 1.0, 66, 0.0, 1),
-    (0, 0, 0, 0, 4, 0.0, 60, 0.0, 40, 0.0, 1),
-    (0, 0, 0, 0, 2, 0.0, 45, 0.0, 38, 0.1, 1),
-    (0, 0, 0, 0, 60, 0.3, 80, 0.0, 50, 0.0, 1),
-    (0, 0, 0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
-    (0, 0, 0, 0, 4, 1.0, 3, 1.0, 50, 0.0, 0),
-    (0, 0, 0, 0, 25, 0.9, 4, 1.0, 30, 0.8, 0),
-    (0, 0, 0, 0, 14, 0.7, 60, 0.0, 6, 1.0, 0),
-    (0, 0, 0, 0, 5, 0.0, 3, 1.0, 4, 1.0, 0),
-    (0, 0, 0, 0, 3, 0.0, 2, 1.0, 0, 0.0, 0),
-    (0, 0, 0, 1, 2, 0.0, 4, 1.0, 3, 1.0, 0),
-    (0, 0, 0, 0, 50, 0.6, 3, 1.0, 5, 1.0, 0),
-]
+    (0, 0, 0, 120, 0.0, 0, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 70, 0.0, 50, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 33, 0.1, 3, 1.0, 28, 0.0, 1),
+    (0, 0, 0, 26, 0.0, 40, 0.0, 5, 1.0, 1),
+    (0, 0, 0, 80, 0.0, 60, 0.0, 75, 0.0, 1),
+    (0, 0, 0, 35, 0.05, 8, 0.0, 90, 0.0, 1),
+    (0, 0, 0, 22, 0.1, 70, 0.0, 3, 1.0, 1),
+    (0, 0, 0, 18, 0.0, 0, 0.0, 0, 0.0, 1),
+    (0, 0, 1, 7, 0.0, 2, 1.0, 66, 0.0, 1),
+    (0, 0, 1, 2, 0.0, 0, 0.0, 60, 0.0, 1),
+    (0, 0, 1, 3, 0.0, 1, 1.0, 45, 0.0, 1),
+    (0, 0, 1, 1, 0.0, 2, 1.0, 30, 0.0, 1),
+    (0, 0, 0, 3, 0.0, 2, 1.0, 50, 0.0, 0),
+    (0, 0, 0, 2, 0.0, 60, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 4, 0.0, 35, 0.0, 9, 0.0, 1),
+    (0, 0, 0, 1, 0.0, 90, 0.0, 3, 1.0, 1),
+    (0, 0, 0, 4, 0.0, 60, 0.0, 40, 0.0, 1),
+    (0, 0, 0, 2, 0.0, 45, 0.0, 38, 0.1, 1),
+    (0, 0, 0, 60, 0.3, 80, 0.0, 50, 0.0, 1),
+    (0, 0, 0, 2, 1.0, 2, 1.0, 2, 1.0, 0),
+    (0, 0, 0, 4, 1.0, 3, 1.0, 50, 0.0, 0),
+    (0, 0, 0, 25, 0.9, 4, 1.0, 30, 0.8, 0),
+    (0, 0, 0, 14, 0.7, 60, 0.0, 6, 1.0, 0),
+    (0, 0, 0, 5, 0.0, 3, 1.0, 4, 1.0, 0),
+    (0, 0, 0, 3, 0.0, 2, 1.0, 0, 0.0, 0),
+    (0, 0, 1, 2, 0.0, 4, 1.0, 3, 1.0, 0),
+    (0, 0, 0, 50, 0.6, 3, 1.0, 5, 1.0, 0),
+]
+# Blocks of which a part of a class word speaks ("category-search"), or a list or table of such a class.
+DOUBTFUL = [
+    (1, 1, 0, 80, 0.0, 6, 0.0, 40, 0.0, 1),
+    (1, 1, 0, 3, 0.0, 80, 0.0, 4, 0.0, 1),
+    (1, 1, 0, 2, 0.0, 3, 0.0, 3, 0.0, 1),
+    (1, 1, 1, 5, 0.0, 30, 0.0, 60, 0.0, 1),
+    (1, 1, 0, 30, 0.2, 50, 0.0, 0, 0.0, 1),
+    (1, 1, 0, 12, 0.3, 9, 0.1, 14, 0.2, 1),
+    (1, 1, 0, 2, 1.0, 60, 0.0, 2, 1.0, 0),
+    (1, 1, 0, 4, 1.0, 3, 1.0, 5, 0.8, 0),
+    (1, 1, 0, 9, 0.7, 40, 0.0, 6, 1.0, 0),
+    (1, 1, 0, 3, 0.7, 2, 1.0, 70, 0.0, 0),
+    (1, 1, 0, 20, 0.8, 5, 0.9, 30, 0.0, 0),
+    (0, 1, 0, 40, 0.0, 70, 0.0, 30, 0.0, 0),
+    (0, 1, 0, 4, 0.6, 3, 1.0, 9, 0.0, 0),
+    (0, 0, 0, 70, 0.0, 50, 0.0, 60, 0.0, 1),
+    (0, 0, 0, 28, 0.1, 3, 1.0, 45, 0.0, 1),
+    (0, 0, 1, 6, 0.0, 2, 1.0, 66, 0.0, 1),
+    (0, 0, 0, 3, 1.0, 2, 1.0, 4, 1.0, 0),
+    (0, 0, 0, 5, 0.0, 3, 1.0, 4, 1.0, 0),
+]
+# Blocks within furniture on pages that have no other text: a whole page in a form, or in a box of an odd name.
+ONLY_TEXT = [
+    (1, 1, 0, 90, 0.0, 8, 0.0, 70, 0.0, 1),
+    (1, 1, 0, 4, 0.0, 60, 0.0, 80, 0.0, 1),
+    (1, 1, 1, 6, 0.0, 0, 0.0, 50, 0.0, 1),
+    (1, 1, 0, 45, 0.2, 30, 0.0, 0, 0.0, 1),
+    (1, 1, 0, 2, 1.0, 40, 0.0, 2, 1.0, 0),
+    (1, 1, 0, 8, 0.8, 3, 1.0, 50, 0.0, 0),
+    (0, 0, 0, 120, 0.0, 40, 0.0, 60, 0.0, 1),
+    (0, 0, 0, 30, 0.1, 2, 1.0, 70, 0.0, 1),
+    (0, 0, 0, 50, 0.0, 70, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 2, 0.0, 60, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 4, 0.0, 35, 0.0, 9, 0.0, 1),
+    (0, 0, 1, 5, 0.0, 0, 0.0, 70, 0.0, 1),
+    (0, 0, 0, 3, 1.0, 2, 1.0, 4, 1.0, 0),
+    (0, 0, 0, 5, 0.0, 3, 1.0, 4, 1.0, 0),
+    (0, 0, 0, 16, 0.9, 3, 1.0, 9, 0.9, 0),
+    (0, 1, 0, 40, 0.0, 20, 0.0, 30, 0.0, 0),
+    (0, 1, 0, 5, 0.0, 20, 0.0, 30, 0.0, 0),
+]
+
+
+def labelled() -> list[tuple]:
+    """The table with all features: what speaks against a block, and how much other text the page has."""
+    some = (1.0, 0.8, 0.5, 0.2)
+    rows = [(0, 0, 0, 0, r[0], r[1], clean, *r[2:]) for r in PLAIN for clean in (*some, 0.0)]
+    rows += [(0, 0, 1, 0, r[0], r[1], clean, *r[2:]) for r in DOUBTFUL for clean in (*some, 0.0)]
+    for speaks in ((1, 0), (0, 1), (1, 1)):  # a tag, a whole word, both
+        rows += [(*speaks, 0, 0, r[0], r[1], clean, *r[2:]) for r in FURNITURE for clean in some]
+        rows += [(*speaks, 0, 0, r[0], r[1], 0.0, *r[2:]) for r in ONLY_TEXT]
+    # Articles within furniture: teasers and comments beside the article, but the article itself if it is the only one.
+    whole = [r for r in PLAIN if r[0]]
+    rows += [(0, 0, 0, 1, r[0], r[1], clean, *r[2:-1], 0) for r in whole for clean in some]
+    rows += [(0, 0, 0, 1, r[0], r[1], 0.0, *r[2:]) for r in whole]
+    return rows
 
 
 @dataclass
@@ -171,38 +248,69 @@ class Tree:
 
 
 def trained() -> Tree:
-    table = np.array(LABELLED, float)
+    table = np.array(labelled(), float)
     return Tree.grow(table[:, :-1], table[:, -1])
 
 
+@dataclass
+class Place:
+    """What the open elements say about the text in them."""
+
+    tag: bool = False  # an element of page furniture, within the article if there is one
+    strong: bool = False  # a class word that is nothing but furniture, likewise
+    weak: bool = False  # a class word with a part that is furniture, likewise
+    around: bool = False  # furniture around the article itself
+    inside: bool = False  # in an article
+    form: bool = False  # a form, which some sites put around everything
+
+
 @dataclass
 class Block:
     text: str
     words: int
     links: float
-    outside: bool
-    inside: bool
+    place: Place
     heading: bool
 
+    @property
+    def plain(self) -> bool:
+        return not (self.place.tag or self.place.form or self.place.strong or self.place.around)
+
 
-def place(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """(outside, inside): what a container says about the text in it."""
+def within(outer: Place, name: str, attributes: str) -> Place:
+    """What holds inside an element that is opened in ``outer``."""
     marked = {}
     if attributes.strip():
         marked = {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in ATTRIBUTE.finditer(attributes)}
-    words = set(re.split(r"[^a-z0-9]+", f"{marked.get('class', '')} {marked.get('id', '')}")) - {""}
+    names = [set(re.split(r"[^a-z0-9]+", t)) - {""} for t in f"{marked.get('class', '')} {marked.get('id', '')}".split()]
+    names = [t for t in names if t]
     role = marked.get("role", "")
-    outside = (
-        name in OUTSIDE
-        or (name == "header" and not inside)
+    words = OUTSIDE_WORDS if outer.inside else OUTSIDE_WORDS | {"header"}
+    strong = any(t <= words for t in names)
+    weak = any(not t.isdisjoint(words) for t in names) and not strong
+    form = name == "form" and role not in OUTSIDE_ROLES
+    tag = (
+        (name in OUTSIDE and not form)
+        or (name == "header" and not outer.inside)
         or role in OUTSIDE_ROLES
         or "hidden" in marked
         or marked.get("aria-hidden") == "true"
         or "display:none" in marked.get("style", "").replace(" ", "")
-        or (name not in ("body", "main", "head") and not words.isdisjoint(OUTSIDE_WORDS))
-        or (not inside and name != "body" and "header" in words)
     )
-    return outside, name in ("article", "main") or role in ("main", "article") or (name in ("div", "section") and not words.isdisjoint(INSIDE_WORDS))
+    article = (
+        name in ("article", "main")
+        or role in ("main", "article")
+        or (name in ("div", "section") and any(not t.isdisjoint(INSIDE_WORDS) and t.isdisjoint(words) for t in names))
+    )
+    if article:  # what stood around it until here, but for a form, is around the article
+        return Place(around=outer.around or outer.strong or outer.tag or strong or tag, inside=True)
+    if name in ("body", "head"):
+        strong = weak = False
+    if strong and name in LISTING:
+        strong, weak = False, True
+    if form:  # its words say nothing about an article in it
+        return replace(outer, form=True)
+    return Place(outer.tag or tag, outer.strong or strong, outer.weak or weak, outer.around, outer.inside, outer.form)
 
 
 def blocks(page: str) -> list[Block]:
@@ -210,7 +318,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []  # text of the block so far; texts in links are counted apart
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: name, outside, inside
+    stack: list[tuple[str, Place]] = []  # open containers
+    opened: Counter[str] = Counter()
     heading, in_link, at = False, False, 0
 
     def close() -> None:
@@ -218,9 +327,9 @@ def blocks(page: str) -> list[Block]:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                outside, inside = stack[-1][1:] if stack else (False, False)
                 n = len(html.unescape(" ".join(linked)).split()) if linked else 0
-                out.append(Block(" ".join(words), len(words), min(1.0, n / len(words)), outside, inside, heading))
+                here = stack[-1][1] if stack else Place()
+                out.append(Block(" ".join(words), len(words), min(1.0, n / len(words)), here, heading))
             parts, linked = [], []
 
     while True:
@@ -238,7 +347,7 @@ def blocks(page: str) -> list[Block]:
         name, ends = m[2].lower(), bool(m[1])
         if name in SILENT:
             if not ends and not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                end = SILENT_ENDS[name].search(page, at)
                 at = end.end() if end else len(page)
             parts.append(" ")
         elif name == "a":
@@ -249,28 +358,36 @@ def blocks(page: str) -> list[Block]:
             close()
             if name in CONTAINER:
                 in_link = False
-                if ends:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == name:
-                            del stack[k:]
-                            break
-                else:
-                    around_out, around_in = stack[-1][1:] if stack else (False, False)
-                    outside, inside = place(name, m[3], around_in)
-                    stack.append((name, outside or around_out, inside or around_in))
+                if not ends:
+                    stack.append((name, within(stack[-1][1] if stack else Place(), name, m[3])))
+                    opened[name] += 1
+                elif opened[name]:
+                    last = ""
+                    while last != name:
+                        last = stack.pop()[0]
+                        opened[last] -= 1
             heading = not ends and name in ("h1", "h2", "h3", "h4", "h5", "h6")
     close()
     return out
 
 
+def clean_share(found: list[Block], some: bool) -> float:
+    """The share of a page's running text (in articles, if it has any) that no element speaks against."""
+    pool = [b for b in found if b.links < 0.5 and (b.place.inside if some else b.words >= 10)]
+    return sum(b.words for b in pool if b.plain) / max(1, sum(b.words for b in pool))
+
+
 def main_text(page: str | None, tree: Tree) -> str:
     """The page's main blocks, one a line; empty if there are none."""
     found = blocks(page or "")
-    some = any(b.inside and not b.outside for b in found)
-    ends = Block("", 0, 0.0, False, False, False)
+    some = any(b.place.inside for b in found)
+    clean = clean_share(found, some)
+    ends = Block("", 0, 0.0, Place(), False)
     kept = []
     for before, b, after in zip([ends, *found], found, [*found[1:], ends]):
-        row = (b.outside, b.inside, some, b.heading, b.words, b.links, before.words, before.links, after.words, after.links)
+        p = b.place
+        row = (p.tag or p.form, p.strong, p.weak, p.around, p.inside, some, clean, b.heading)
+        row += (b.words, b.links, before.words, before.links, after.words, after.links)
         if tree.says(row):
             kept.append(b.text)
     return "\n".join(kept)

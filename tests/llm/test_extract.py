@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import duckdb
 import pytest
@@ -68,6 +69,68 @@ def test_pages_without_an_article():
     assert main("<ul>" + "<li><a href=x>one two</a></li>" * 9 + "</ul>") == ""
 
 
+PROSE = "This is the running text of the page, and it has a good number of words in it. " * 5
+ARTICLE = f"<h1>A title of some words</h1><p>{PROSE}</p><p>Short end.</p>"
+WHOLE = f"A title of some words\n{PROSE.strip()}\nShort end."
+
+
+@pytest.mark.parametrize(
+    "tag",
+    [
+        '<article class="post comments-open">{}</article>',
+        '<article class="post category-search">{}</article>',
+        '<article id="post-social">{}</article>',
+        '<article class="comments">{}</article>',
+        '<form id="aspnetForm"><nav><a href=x>Home</a></nav><article>{}</article></form>',
+        '<div class="search-results legal"><main>{}</main></div>',
+        '<div class="content-with-sidebar">{}</div>',
+        '<div class="widget">{}</div>',
+        '<form id="aspnetForm">{}</form>',
+    ],
+)
+def test_words_of_a_class_do_not_decide_alone(tag):
+    assert main(f"<html><body>{tag.format(ARTICLE)}</body></html>") == WHOLE
+
+
+def test_what_a_doubtful_element_holds_decides():
+    soup = '<table class="menu"><tr><td>Soup of the day</td><td>4 euros</td></tr></table>'
+    links = '<ul class="menu">' + "<li><a href=x>one two</a></li>" * 4 + "</ul>"
+    assert main(f"<article>{ARTICLE}{soup}</article>") == WHOLE + "\nSoup of the day\n4 euros"
+    assert main(f"<article>{ARTICLE}{links}</article>") == WHOLE
+
+
+def test_comments_that_are_articles_go_where_there_is_another():
+    comment = '<article class="comment"><p>I was there and I say so to all of you who read this here.</p></article>'
+    assert main(f"<article>{ARTICLE}</article><section id=comments>{comment * 3}</section>") == WHOLE
+    assert main(f"<article>{ARTICLE}<section id=comments>{comment * 3}</section></article>") == WHOLE
+    bare = comment.replace(' class="comment"', "")
+    assert main(f"<main>{ARTICLE}</main><div class=comments>{bare * 3}</div>") == WHOLE
+
+
+def test_more_than_one_feature_is_used():
+    used = set()
+
+    def visit(node):
+        if node.feature >= 0:
+            used.add(x.FEATURES[node.feature])
+            visit(node.left)
+            visit(node.right)
+
+    visit(TREE)
+    assert {"words", "links", "clean", "tag", "strong", "weak"} <= used
+    assert used & {"words_before", "words_after"}
+
+
+@pytest.mark.parametrize("unit", ["<b ", '<b "', "<b '", "<!", "<b<b", "</div><ul>", "<ul></div>", '<b a="x" ', "<p>a", "&amp"])
+def test_a_very_long_page_of_broken_tags_takes_linear_time(unit):
+    began = time.perf_counter()
+    main(unit * (300_000 // len(unit)))
+    short = time.perf_counter() - began
+    began = time.perf_counter()
+    main(unit * (1_200_000 // len(unit)))
+    assert time.perf_counter() - began < 10 * short + 0.5
+
+
 @pytest.mark.parametrize(
     "page,text",
     [
