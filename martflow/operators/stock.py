@@ -8,8 +8,8 @@ whatever the keys are (``buckets.ranged``); a hot key lies in several of them.
    held before -> quantity held after", a short list of steps (at most one per unit of stock).
 2. Functions of neighbouring ranges are chained in a tree of ``fan_in`` children per node,
    then the known start quantity is handed down the same tree to each part.
-3. With its start quantity known, a range is settled row by row, holding only the current
-   quantity.
+3. With its start quantity known, a range is settled in order, one request of each of its keys at
+   a time.
 
 The answers are exactly those of settling each key from front to back, for every cut.
 """
@@ -80,29 +80,76 @@ def _replay(rows: DataFrame, requests: DataFrame, keys: Sequence[str]) -> DataFr
     inputs = ("_part", *keys, "_qty", "_opening", "_held")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, 0
+        last_key, last_held = None, 0
         for batch in batches:
-            column = {c: batch.column(c).to_pylist() for c in inputs}
-            answers, after = [], []
-            for *key, qty, opening, start in zip(*column.values()):
-                if key != current:
-                    current, held = key, start
-                ok = _fits(held, qty, opening)
-                if ok:
-                    held += qty
-                answers.append(ok)
-                after.append(held)
+            if not batch.num_rows:
+                continue
+            column = {c: batch.column(c) for c in inputs}
+            begin = _run_starts([column[c] for c in ("_part", *keys)])
+            held = column["_held"].to_numpy()[begin].copy()
+            first, last = ([column[c][i].as_py() for c in ("_part", *keys)] for i in (0, batch.num_rows - 1))
+            if first == last_key:  # the run goes on from the batch before
+                held[0] = last_held
+            accepted, after = _replay_runs(begin, held, column["_qty"], column["_opening"])
+            last_key, last_held = last, int(after[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names]
-                + [pa.array(answers, pa.bool_()), pa.array(after, pa.int64())],
+                [batch.column(c) for c in names] + [pa.array(accepted), pa.array(after)],
                 names=[*names, "accepted", "held"],
             )
 
     return ordered.mapInArrow(answer, schema)
 
 
-def _fits(held, qty, opening) -> bool:
-    return qty is not None and opening is not None and 0 <= held + qty <= opening
+def _run_starts(columns: Sequence[pa.Array]) -> np.ndarray:
+    """Positions at which any of the columns changes (NULL equals NULL), the first included."""
+    n = len(columns[0])
+    change = np.zeros(n, bool)
+    change[0] = True
+    for c in columns:
+        codes = c.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        change[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(change)
+
+
+LANES = 16  # below so many runs at once, single steps cost less than arrays
+
+
+def _replay_runs(
+    begin: np.ndarray, held: np.ndarray, quantity: pa.Array, opening: pa.Array
+) -> tuple[np.ndarray, np.ndarray]:
+    """Settle runs of requests that do not depend on each other, one request of every run at a time.
+
+    A run goes from its start to the next one; ``held`` is what each begins with. The longest runs are left
+    to single steps once few others are as long.
+    """
+    n = len(quantity)
+    known = quantity.is_valid().to_numpy(zero_copy_only=False) & opening.is_valid().to_numpy(zero_copy_only=False)
+    qty = quantity.fill_null(0).to_numpy()
+    limit = opening.fill_null(-1).to_numpy()
+    accepted, after = np.zeros(n, bool), np.zeros(n, np.int64)
+    length = np.diff(np.append(begin, n))
+    order = np.argsort(-length, kind="stable")
+    begin, length, held = begin[order], length[order], held[order]
+    step, active = 0, len(begin)
+    while active >= LANES:
+        at = begin[:active] + step
+        then = held[:active] + qty[at]
+        fits = known[at] & (then >= 0) & (then <= limit[at])
+        held[:active] = np.where(fits, then, held[:active])
+        accepted[at], after[at] = fits, held[:active]
+        step += 1
+        active = int(np.searchsorted(-length, -step))  # runs that are longer than ``step``
+    for k in range(active):
+        rows = slice(int(begin[k]) + step, int(begin[k] + length[k]))
+        now, answers, left = int(held[k]), [], []
+        for ok, q, most in zip(known[rows].tolist(), qty[rows].tolist(), limit[rows].tolist()):
+            ok = ok and 0 <= now + q <= most
+            if ok:
+                now += q
+            answers.append(ok)
+            left.append(now)
+        accepted[rows], after[rows] = answers, left
+    return accepted, after
 
 
 # -- chunk functions -----------------------------------------------------------------

@@ -504,6 +504,7 @@ SQL["fact_sales"] = _with(
     """SELECT store_id, dept_id, date_id, feature_id, weekly_sales, holiday_id, last_modified
        FROM fact""",
 )
+SQL["fact_sales_bucketed"] = SQL["fact_sales"]
 SQL["fact_sales_all"] = _with(
     "readable features_id store",
     """SELECT r.store AS store_id, dept AS dept_id, day AS date_id, feature_id,

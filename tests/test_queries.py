@@ -63,3 +63,16 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_top_product_needs_no_sort(spark):
     assert "TakeOrderedAndProject" in plan(spark, "top_product")
+
+
+def test_stored_buckets_are_joined_without_an_exchange(spark):
+    """With sides too large to broadcast, the join reads both as they are stored."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts, _ = registry._bucketed_facts(spark, SMALL)
+        text = facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert text.count("Bucketed: true") == 2

@@ -131,3 +131,41 @@ def test_stock_is_never_negative_or_above_opening(spark):
     out = settle(*frames(spark, req, {"a": 12}), ["k"], ["seq"])
     low, high = out.agg(F.min("held"), F.max("held")).first()
     assert low >= 0 and high <= 12
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_side_by_side_equal_runs_one_by_one(seed):
+    """Short and long runs, missing quantities and limits, with more and fewer runs than lanes."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from martflow.operators import stock
+
+    rng = random.Random(seed)
+    lengths = [rng.choice([1, 2, 5, 40]) for _ in range(rng.choice([1, 15, 16, 60]))]
+    begin = np.cumsum([0, *lengths[:-1]])
+    n = sum(lengths)
+    qty = [rng.choice([None, 0, 1, 3, 9, -1, -4]) for _ in range(n)]
+    opening = [o for k in lengths for o in [rng.choice([None, 0, 5, 12])] * k]
+    held = np.array([rng.randrange(3) for _ in lengths])
+    want_ok, want_held = [], []
+    for b, k, h in zip(begin, lengths, held):
+        for i in range(b, b + k):
+            ok = qty[i] is not None and opening[i] is not None and 0 <= h + qty[i] <= opening[i]
+            h += qty[i] if ok else 0
+            want_ok.append(ok)
+            want_held.append(h)
+    got = stock._replay_runs(begin, held.copy(), pa.array(qty, pa.int64()), pa.array(opening, pa.int64()))
+    assert got[0].tolist() == want_ok and got[1].tolist() == want_held
+
+
+def test_run_starts_treat_nulls_as_equal():
+    import pyarrow as pa
+
+    from martflow.operators import stock
+
+    a = pa.array([1, 1, None, None, 2, 2, 2])
+    b = pa.array(["x", "x", "x", "x", "x", None, None])
+    assert stock._run_starts([a, b]).tolist() == [0, 2, 4, 5]
