@@ -136,7 +136,7 @@ class Model:
             steps.append(normalizers.Replace(" ", MARK))
         if normalise and steps:
             out.normalizer = normalizers.Sequence(steps)
-        back = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+        back = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")]  # once for the joined text
         if self.dummy_prefix:
             back.append(decoders.Strip(" ", 1, 0))  # of the whole text, after all is joined
         out.decoder = decoders.Sequence(back)
@@ -155,6 +155,7 @@ class Codec:
     REMEMBER = 300_000  # parts of at most LONG characters, some 80 MB
     LONG = 48
     GROUP = 1_000_000  # characters of texts that are worked on at once
+    ROW = 256  # words that are encoded as one text
 
     def __init__(self, data: bytes, threads: int = 2):
         # Read when the library first encodes; a thread for every core of the machine would be too many.
@@ -169,6 +170,7 @@ class Codec:
         self.lines = self.cut and not any("\n" in text for text, _, _ in model.pieces)
         self.simple = not (model.charsmap or model.squeeze)
         self.known: dict[str, bytes] = {}
+        self.begins = np.array([text.startswith(MARK) for text, _, _ in model.pieces])
         self.bytes = [
             bytes([int(text[1:-1], 16)]) if kind == BYTE else text.replace(MARK, " ").encode()
             for text, _, kind in model.pieces
@@ -194,17 +196,31 @@ class Codec:
         return out
 
     def learn(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of each part, as bytes."""
-        inner = [self.lines and p.startswith("\n") for p in parts]
-        if self.cut:
-            texts = [p if x else MARK + p.replace(" ", MARK) for p, x in zip(parts, inner)]
-            coded = [c.ids for c in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
-        else:
-            coded = [c.ids for c in self.whole.encode_batch_fast(parts, add_special_tokens=False)]
-        ends = np.cumsum([0, *map(len, coded)]) * 4
-        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(ends[-1]) // 4).tobytes()
-        ends = ends.tolist()
-        return {p: flat[a:b] for p, a, b in zip(parts, ends, ends[1:])}
+        """The ids of each part, as bytes.
+
+        Parts that are one word go to the library in rows of ``ROW``: as no piece reaches across a marker, a
+        row's ids are those of its words, and a new word begins wherever a piece begins with the marker.
+        """
+        if not self.cut:
+            return dict(zip(parts, map(self._ids, self.whole.encode_batch_fast(parts, add_special_tokens=False))))
+        words = [p for p in parts if p and " " not in p and not (self.lines and p.startswith("\n"))]
+        rows = [words[k : k + self.ROW] for k in range(0, len(words), self.ROW)]
+        coded = self.plain.encode_batch_fast([MARK + MARK.join(row) for row in rows], add_special_tokens=False)
+        known: dict[str, bytes] = {}
+        for row, c in zip(rows, coded):
+            ids = np.array(c.ids, np.int32)
+            begin = np.flatnonzero(self.begins[ids])
+            if len(begin) == len(row) and begin[0] == 0:
+                flat, ends = ids.tobytes(), [*(begin * 4).tolist(), len(ids) * 4]
+                known.update((p, flat[a:b]) for p, a, b in zip(row, ends, ends[1:]))
+        others = [p for p in parts if p not in known]
+        texts = [p if self.lines and p.startswith("\n") else MARK + p.replace(" ", MARK) for p in others]
+        known.update(zip(others, map(self._ids, self.plain.encode_batch_fast(texts, add_special_tokens=False))))
+        return known
+
+    @staticmethod
+    def _ids(coded) -> bytes:
+        return np.array(coded.ids, np.int32).tobytes()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """(ids, parity) of each text. Empty texts have no ids."""
