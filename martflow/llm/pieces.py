@@ -10,6 +10,7 @@ from __future__ import annotations
 import gc
 import os
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -152,7 +153,7 @@ class Codec:
     encodes every text whole, so that the cutting is compared as well.
     """
 
-    REMEMBER = 300_000  # parts of at most LONG characters, some 80 MB
+    REMEMBER = 500_000  # parts of at most LONG characters, some 130 MB
     LONG = 48
     GROUP = 1_000_000  # characters of texts that are worked on at once
     ROW = 256  # words that are encoded as one text
@@ -212,7 +213,7 @@ class Codec:
             begin = np.flatnonzero(self.begins[ids])
             if len(begin) == len(row) and begin[0] == 0:
                 flat, ends = ids.tobytes(), [*(begin * 4).tolist(), len(ids) * 4]
-                known.update((p, flat[a:b]) for p, a, b in zip(row, ends, ends[1:]))
+                known.update(zip(row, [flat[a:b] for a, b in zip(ends, ends[1:])]))
         others = [p for p in parts if p not in known]
         texts = [p if self.lines and p.startswith("\n") else MARK + p.replace(" ", MARK) for p in others]
         known.update(zip(others, map(self._ids, self.plain.encode_batch_fast(texts, add_special_tokens=False))))
@@ -236,9 +237,9 @@ class Codec:
                 [learnt[p] if x is None else x for p, x in zip(parts, ids)] if None in ids else ids
                 for parts, ids in zip(cut, coded)
             ]
-        found = [np.frombuffer(b"".join(ids), np.int32) for ids in coded]
+        found = list(map(b"".join, coded))
         other = self.other.encode(texts, num_threads=1)
-        return [(ids, np.array_equal(ids, np.array(theirs, np.int32))) for ids, theirs in zip(found, other)]
+        return [(np.frombuffer(x, np.int32), array("i", theirs).tobytes() == x) for x, theirs in zip(found, other)]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """The texts of ids by the tokenizers library."""
