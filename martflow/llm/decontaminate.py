@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import fresh, places, received, sent, utf8
+from martflow.llm.common import bound_batches, fresh, materialize, places, received, sent, utf8
 from martflow.llm.words import LETTERS_AND_DIGITS, plain_words
 
 WINDOW = 13
-BLOCK_BYTES = 2_000_000  # of item text in one automaton: some 150 MB in each task
+BLOCK_BYTES = 2_000_000  # of item text in one automaton: some 170 MB in each task, one automaton at a time
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -189,15 +192,32 @@ def find_hits(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays(columns, names=places(batch.num_columns))
 
 
-def blocks(bench: DataFrame, text: str, item_id: str, block_bytes: int) -> Iterator[Automaton]:
-    """Automata of the benchmark's items, each of a part of bounded size."""
+def merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, spans, items) -> the same with overlapping spans made one."""
+    for batch in batches:
+        made = [[{"start": a, "end": b} for a, b in merged([(s["start"], s["end"]) for s in x])] for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, SPAN_TYPE), batch.column(2)], names=places(3))
+
+
+def blocks(bench: DataFrame, text: str, item_id: str, window: int, block_bytes: int) -> Iterator[Broadcast]:
+    """Automata of the benchmark's items, each of a part of bounded size, one after the other for all executors.
+
+    They are built in tasks, one for each part, and stored; the driver passes one on at a time.
+    """
     items = bench.select(F.col(f"`{item_id}`").alias("item"), utf8(F.col(f"`{text}`")).alias("text"))
     items = items.where("item is not null and text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = int(size // block_bytes) + 1
-    for k in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k).collect()
-        yield Automaton([(r["item"], plain_words(bytes(r["text"]))) for r in rows])
+    items = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)).cast("int"))
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        made = Automaton([(i, plain_words(bytes(t))) for i, t in zip(rows["item"], rows["text"])], window)
+        return pd.DataFrame({"part": [rows["part"].iloc[0]], "data": [cloudpickle.dumps(made)]})
+
+    spark = bench.sparkSession
+    made = materialize(items.groupBy("part").applyInPandas(build, "part int, data binary"), "automata")
+    for part in sorted(r["part"] for r in made.select("part").collect()):
+        yield spark.sparkContext.broadcast(bytes(made.where(F.col("part") == part).first()["data"]))
 
 
 def find(docs: DataFrame, bench: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", into: str = "hits", keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -207,24 +227,50 @@ def find(docs: DataFrame, bench: DataFrame, text: str = "text", item_text: str =
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. A window is
     ``WINDOW`` consecutive words of an item, or the whole of a shorter one. Null and empty texts have
-    no words; items without id or words have no windows; rows of items that repeat add nothing. Each
-    block of items is a pass of its own over the words, so a benchmark of any size fits; there is
-    no shuffle.
+    no words; items without id or words have no windows; rows of items that repeat add nothing.
+
+    Items are worked on in blocks of ``block_bytes``, one automaton in each task at a time. With one block the
+    words are passed over once and nothing is moved. With more, each block is a pass of its own over the
+    stored texts whose hits are stored, and the hits of a document are put together by its row.
     """
     keep = keep or list(docs.columns)
     into = fresh(docs, into)
-    own, n, spans, items = (fresh(docs, x) for x in ("_text", "_words", "_spans", "_items"))
+    own, n, spans, items, row = (fresh(docs, x) for x in ("_text", "_words", "_spans", "_items", "_row"))
     item_kind = bench.schema[item_id].dataType.simpleString()
-    df = docs.select(
-        *[f"`{c}`" for c in keep],
-        utf8(F.col(f"`{text}`")).alias(own),
+    nothing = [
         F.lit(0).cast("long").alias(n),
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias(spans),
         F.array().cast(f"array<{item_kind}>").alias(items),
-    )
-    for automaton in blocks(bench, item_text, item_id, block_bytes):
-        shared = sent(df.sparkSession, automaton)  # bounded by block_bytes
-        df = df.mapInArrow(lambda b, shared=shared: find_hits(b, shared), df.schema)
+    ]
+    bound_batches(docs.sparkSession)
+    df = docs.select(*[f"`{c}`" for c in keep], utf8(F.col(f"`{text}`")).alias(own))
+    automata = blocks(bench, item_text, item_id, WINDOW, block_bytes)
+    first = next(automata, None) or sent(docs.sparkSession, Automaton([]))
+    second = next(automata, None)
+
+    def passed(rows: DataFrame, shared: Broadcast) -> DataFrame:
+        rows = rows.select("*", *nothing)
+        return rows.mapInArrow(lambda b: find_hits(b, shared), rows.schema)
+
+    if second is None:
+        df = passed(df, first)
+    else:
+        df = materialize(df.withColumn(row, F.monotonically_increasing_id()), "documents")
+        narrow = df.select(row, own)
+        counted = materialize(passed(narrow, first).drop(own), "hits")  # the words of every row
+        found = [counted.where(F.size(spans) > 0).select(row, spans, items)]
+        for shared in chain([second], automata):
+            hits = passed(narrow, shared).where(F.size(spans) > 0).select(row, spans, items)
+            found.append(materialize(hits, "hits"))
+            shared.unpersist()
+        union = reduce(DataFrame.unionAll, found).groupBy(row).agg(
+            F.flatten(F.collect_list(spans)).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list(items)))).alias(items)
+        )
+        schema = union.schema
+        union = union.select(row, spans, items).mapInArrow(merge_spans, schema)
+        none = [F.coalesce(F.col(x), nothing[k + 1]).alias(x) for k, x in enumerate((spans, items))]
+        words = counted.select(row, n).join(union, row, "left").select(row, n, *none)
+        df = df.drop(own).join(words, row).drop(row)
     covered = F.aggregate(spans, F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
     return df.select(
         *[f"`{c}`" for c in keep],

@@ -170,12 +170,32 @@ def cut_windows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
 
 def learn(labelled: DataFrame, doc_id: str, text: str, lang: str, per_language: int = 400, windows_each: int = 8) -> Network:
     """A network trained on a bounded sample: of each language, the ``per_language`` rows whose hashed ids
-    are least, ``windows_each`` windows of each. Rows without language or letters are left out."""
+    are least, ``windows_each`` windows of each. Rows without language or letters are left out.
+
+    A first pass counts hashes by their length in bits, which tells for each language below which length
+    there are enough; only texts of such rows, about twice as many as wanted, are moved to be ranked. Equal
+    ids are ranked by their texts.
+    """
     rows = labelled.select(
         F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"),
         F.xxhash64(F.col(f"`{doc_id}`")).alias("order"),
     ).where("lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    above_least = F.shiftrightunsigned(F.col("order").bitwiseXOR(F.lit(-(1 << 63))), 1)
+    rows = rows.withColumn("bits", F.length(F.bin(above_least)))
+    counts: dict[str, dict[int, int]] = {}
+    for r in rows.groupBy("lang", "bits").agg(F.count("*").alias("n")).collect():  # 64 rows for each language
+        counts.setdefault(r["lang"], {})[r["bits"]] = r["n"]
+    enough = []
+    for name, by_bits in counts.items():
+        found = 0
+        for bits in sorted(by_bits):
+            found += by_bits[bits]
+            if found >= per_language or bits == max(by_bits):
+                enough.append((name, bits))
+                break
+    limits = labelled.sparkSession.createDataFrame(enough, "lang string, most int")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
+    rows = rows.join(F.broadcast(limits), "lang").where("bits <= most")  # one row for each language
     rows = rows.withColumn("rank", rank).where(F.col("rank") <= per_language)
     cut = rows.select("lang", utf8(F.col("text")).alias("text")).mapInArrow(lambda b: cut_windows(b, windows_each), "lang string, window binary")
     found = sorted((r["lang"], bytes(r["window"])) for r in cut.collect())

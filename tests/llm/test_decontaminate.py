@@ -85,3 +85,21 @@ def test_spans_are_cut_out(spark, text, left):
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "a B c d E")], "item_id bigint, text string")
     assert dc.remove_spans(docs, bench, min_words=5).first().text == left
+
+
+def test_a_task_holds_one_automaton_however_many_blocks_there_are(spark):
+    """Many blocks give the result of one, and no plan has more than one of their passes."""
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(12)]
+    texts = [f"start {items[i][1]} and {items[(i * 5 + 1) % 12][1]} end" for i in range(12)] + ["none of them", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(3, texts[3])], "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    one = dc.find(docs, bench, into="h")
+    many = dc.find(docs, bench, into="h", block_bytes=150)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (one, many)]
+    assert [text.count("MapInArrow") for text in plans] == [1, 1]  # in the second, to put spans together
+
+    def rows(df):
+        return sorted(((r.doc_id, r.h.n_words, r.h.n_hit, r.h["items"], r.h.spans) for r in df.collect()), key=str)
+
+    assert rows(one) == rows(many) and sum(r[2] for r in rows(one)) > 400
+    assert dc.remove_spans(docs, bench, block_bytes=150).exceptAll(dc.remove_spans(docs, bench)).count() == 0

@@ -239,3 +239,19 @@ def test_scores_of_odd_rows(spark, odd, none):
     new = lm.score(odd, none, into="lm").collect()
     assert {(r.lm.n_known, r.lm.train_tokens, r.lm.base_score) for r in new} == {(0, 0, 0.0)}
     assert lm.score(none, odd, rounds=1).count() == 0
+
+
+def test_the_sample_of_a_language_is_that_of_its_least_hashed_ids(spark, monkeypatch):
+    """Few and many rows a language, ids that repeat, and a hot language: the same windows as by ranking all."""
+    rows = [(i, f"text number {i} " * 3, "en") for i in range(3000)]
+    rows += [(i % 7, f"petit texte {i}", "fr") for i in range(900)] + [(5, "ein Text", "de")] * 4 + [(None, "x", "es"), (1, None, "es")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid.Network, "train", lambda self, data, labels: seen.append((self.languages, data, labels)))
+    langid.learn(docs, "doc_id", "text", "lang", per_language=50, windows_each=1)
+    (names, data, labels) = seen[0]
+    assert names == ["de", "en", "es", "fr"] and [int((labels == k).sum()) for k in range(4)] == [4, 50, 1, 50]
+    hashes = {r.i: r.h for r in spark.range(3000).selectExpr("id i", "xxhash64(id) h").collect()}
+    least = sorted((hashes[i], t) for i, t, name in rows if name == "en")[:50]
+    want = sorted(t.lower().encode().ljust(langid.WINDOW, b"\0")[: langid.WINDOW] for _, t in least)
+    assert sorted(bytes(w) for w in data[labels == 1]) == want
