@@ -101,7 +101,7 @@ def element_sets(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Recor
 def sets_of(nodes: DataFrame, docs: DataFrame, most_bits: int = 27) -> DataFrame:
     """(node, elements): whole sets of documents, made anew from their texts.
 
-    The texts are not moved: a table of bits, at most 16 MB, tells which ids may be among ``nodes``, and
+    The texts are not moved: a table of bits (up to 16 MB, unpacked 134 MB in each task) tells which ids may be among ``nodes``, and
     only their sets are made. A few others are made with them; those drop out where sets are joined.
     """
     count = nodes.count()
