@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import bound_batches, materialize, received, sent, utf8
+from martflow.llm.common import bound_batches, materialize, utf8
 from martflow.llm.words import U, WordHashes, mix, shingle_set, space_words
 
 SHINGLE = 5
@@ -86,39 +86,27 @@ def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def element_sets(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """(node, place, text) -> (node, elements): the whole sets of those whose place is marked."""
-    marked = received(shared)
+def element_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> (node, elements): whole sets."""
     hashes = WordHashes()
     for batch in batches:
-        wanted = batch.filter(pa.array(marked[batch.column(1).to_numpy()]))
-        for at in range(0, wanted.num_rows, 256):
-            part = wanted.slice(at, 256)
-            sets = [shingle_set(space_words(data or b""), hashes, SHINGLE).view(np.int64) for data in part.column(2).to_pylist()]
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            sets = [shingle_set(space_words(data or b""), hashes, SHINGLE).view(np.int64) for data in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "elements"])
 
 
-def sets_of(nodes: DataFrame, docs: DataFrame, most_bits: int = 27) -> DataFrame:
+def sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, elements): whole sets of documents, made anew from their texts.
 
-    The texts are not moved: a table of bits (up to 16 MB, unpacked 134 MB in each task) tells which ids may be among ``nodes``, and
-    only their sets are made. A few others are made with them; those drop out where sets are joined.
+    Texts meet the ids by a shuffled join, whose hash table holds the ids of one partition: ``nodes`` grow
+    with the corpus, so they are sent neither to the driver nor to all tasks. An id with several texts
+    has a row for each.
     """
-    count = nodes.count()
-    size = 1 << min(most_bits, max(12, (16 * count).bit_length()))
-    place = F.pmod(F.xxhash64("node"), F.lit(size))
-    words = nodes.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w"))
-    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")).collect()
-    table = np.zeros(size // 64, np.int64)
-    for r in words:
-        table[r["w"]] = r["bits"]
-    marked = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
-    shared = sent(docs.sparkSession, marked)
     kind = docs.schema["doc"].dataType.simpleString()
-    texts = docs.where("doc is not null").select(F.col("doc").alias("node"), "text")
-    texts = texts.select("node", place.alias("place"), utf8(F.col("text")).alias("text"))
-    made = texts.mapInArrow(lambda b: element_sets(b, shared), f"node {kind}, elements array<bigint>")
-    return materialize(made, "near-dup-sets")
+    texts = docs.where("doc is not null").select(F.col("doc").alias("node"), utf8(F.col("text")).alias("text"))
+    texts = texts.join(nodes.hint("shuffle_hash"), "node", "left_semi")
+    return materialize(texts.mapInArrow(element_sets, f"node {kind}, elements array<bigint>"), "near-dup-sets")
 
 
 def long_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
