@@ -98,6 +98,17 @@ def raw_events(spark, folder) -> DataFrame:
     ).drop("_copy")
 
 
+def raw_documents(spark, folder) -> DataFrame:
+    """Whole documents with sentinels in every text column."""
+    n = F.col("doc_id")
+    return table(spark, folder, "documents").select(
+        "doc_id",
+        F.when(n % 29 == 0, "na").otherwise(F.col("text")).alias("text"),
+        F.when(n % 13 == 0, "NA").otherwise(F.col("lang")).alias("lang"),
+        F.when(n % 17 == 0, "na").otherwise(F.col("source")).alias("source"),
+    )
+
+
 # -- retail --------------------------------------------------------------------------
 
 SPLIT_DAY = "2000-01-01"

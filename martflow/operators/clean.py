@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow.functions.dates import leading_date
@@ -23,24 +24,43 @@ def means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.avg(c).alias(c) for c in columns])
 
 
-def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def modes(df: DataFrame, columns: Sequence[str], buckets: int = 1 << 16, first: int = 16) -> DataFrame:
     """One row with the most frequent text of every column.
 
-    NULLs do not count, the lowest value wins a tie. Values are counted with an ordinary
-    grouped count (partial sums before the shuffle) instead of one big in-memory map.
+    NULLs do not count, the lowest value wins a tie; a column without values has NULL. ``df`` is read
+    two or three times. First, rows are counted by bucket (a hash of the value): a task sends at most
+    ``buckets`` numbers for each column, whatever the values. Then the values of the ``first`` fullest
+    buckets are counted. No value is more frequent than its bucket is full, so this proves the winner
+    against every bucket that holds fewer rows. Values of buckets that might hold a winner still, all
+    of them where every value is rare, are counted as well. Only counted values are dealt out.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
-    counts = (
-        df.select(F.explode(pairs).alias("p"))
-        .select("p.c", "p.v")
-        .filter("v IS NOT NULL")
-        .groupBy("c", "v")
-        .agg(F.count("*").alias("n"))
-    )
+    names = [f"m{i}" for i in range(len(columns))]
+    every = F.array(*[F.struct(F.lit(m).alias("c"), F.col(c).alias("v")) for m, c in zip(names, columns)])
+    pairs = df.select(F.explode(every).alias("p")).select("p.c", "p.v").filter("v IS NOT NULL")
+    pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("v"), F.lit(buckets)).cast("int"))
+    held = materialize(pairs.groupBy("c", "bucket").agg(F.count("*").alias("held")), "mode-buckets")
+    fullest = Window.partitionBy("c").orderBy(F.desc("held"), "bucket")
+    top = held.withColumn("place", F.row_number().over(fullest)).filter(F.col("place") <= first).collect()
+
+    def among(kind: Callable[[str], Column]) -> Column:
+        return reduce(lambda x, y: x | y, [(F.col("c") == m) & kind(m) for m in names])
+
     rank = F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))
-    return counts.agg(
-        *[F.min(F.when(F.col("c") == c, rank))["v"].alias(c) for c in columns]
-    )
+
+    def winners(some: DataFrame) -> DataFrame:
+        counts = some.groupBy("c", "v").agg(F.count("*").alias("n"))
+        best = [F.min(F.when(F.col("c") == m, rank)).alias(m) for m in names]
+        return materialize(counts.agg(*best), "mode-winners")
+
+    tried = among(lambda m: F.col("bucket").isin([r.bucket for r in top if r.c == m]))
+    found = winners(pairs.filter(tried))
+    counted = found.select(*[f"{m}.n" for m in names]).first()
+    # As many rows as the winner has, not more: a tie may go to a lower value.
+    open_ = among(lambda m: F.col("held") >= F.lit(-(counted[names.index(m)] or 0)))
+    rest = held.filter(open_ & ~tried).select("c", "bucket")
+    if not rest.isEmpty():
+        found = found.union(winners(pairs.join(rest, ["c", "bucket"], "left_semi")))
+    return found.agg(*[F.min(m)["v"].alias(c) for m, c in zip(names, columns)])
 
 
 def fill_from(df: DataFrame, one_row: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,7 +76,8 @@ def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return fill_from(df, modes(df, columns), columns)
+    """Fill NULLs with the column's most frequent value; runs the jobs of ``modes``."""
+    return fill_from(df, modes(df, columns), columns) if columns else df
 
 
 def fill_dates(

@@ -391,6 +391,27 @@ SQL["impute_mode"] = _with(
     "tidy",
     f"SELECT event_id, coalesce(event_type, {_MODE.format('tidy')}) AS event_type FROM tidy",
 )
+
+
+def _most_frequent(table: str, column: str) -> str:
+    return f"""coalesce({column}, (SELECT {column} FROM {table} WHERE {column} IS NOT NULL
+               GROUP BY {column} ORDER BY count(*) DESC, {column} LIMIT 1)) AS {column}"""
+
+
+SQL["impute_mode_events"] = _with(
+    "raw_events",
+    f"""SELECT event_id, {_most_frequent("e", "event_type")}, {_most_frequent("e", "props")} FROM e""",
+    more="""e AS (SELECT event_id, CASE WHEN event_type NOT IN ('NA', 'na') THEN event_type END AS event_type,
+                  CASE WHEN props NOT IN ('NA', 'na') THEN props END AS props FROM raw_events)""",
+)
+SQL["impute_mode_documents"] = f"""
+    WITH d AS (SELECT doc_id,
+            CASE WHEN doc_id % 29 <> 0 AND text NOT IN ('NA', 'na') THEN text END AS text,
+            CASE WHEN doc_id % 13 <> 0 AND lang NOT IN ('NA', 'na') THEN lang END AS lang,
+            CASE WHEN doc_id % 17 <> 0 AND source NOT IN ('NA', 'na') THEN source END AS source
+        FROM documents)
+    SELECT doc_id, {_most_frequent("d", "text")}, {_most_frequent("d", "lang")},
+           {_most_frequent("d", "source")} FROM d"""
 SQL["forward_fill_date"] = _with(
     "tidy",
     """SELECT event_id, last_value(date IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id

@@ -269,7 +269,22 @@ def impute_mean(spark, folder):
 @query
 def impute_mode(spark, folder):
     raw = clean.blank_to_null(fx.raw_events(spark, folder)).dropDuplicates()
-    return clean.impute_mode(raw, ["event_type"]).select("event_id", "event_type")
+    raw = materialize(raw.select("event_id", "event_type"), "without-copies")
+    return clean.impute_mode(raw, ["event_type"])
+
+
+@query
+def impute_mode_events(spark, folder):
+    """All text columns of the raw events, blanks as missing."""
+    raw = clean.blank_to_null(fx.raw_events(spark, folder).select("event_id", "event_type", "props"))
+    return clean.impute_mode(raw, ["event_type", "props"])
+
+
+@query
+def impute_mode_documents(spark, folder):
+    """All text columns of the documents, whole texts included, blanks as missing."""
+    docs = clean.blank_to_null(fx.raw_documents(spark, folder))
+    return clean.impute_mode(docs, ["text", "lang", "source"])
 
 
 @query

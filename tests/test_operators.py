@@ -1,6 +1,7 @@
 """Picks, buckets, mapping, cleaning and quality."""
 
 import random
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -117,6 +118,40 @@ def test_mode_ignores_nulls_and_takes_the_lowest_of_a_tie(spark):
     assert filled.filter("x is null or y is null").isEmpty()
 
 
+@pytest.mark.parametrize("buckets, first", [(1, 1), (2, 1), (7, 2), (1 << 16, 16)])
+def test_modes_are_exact_whatever_the_buckets(spark, buckets, first):
+    """A winner in a bucket that is not the fullest; a column whose values are all rare; one that is empty."""
+    rng = random.Random(buckets)
+    # 40 light values fill buckets together, one heavier value stands against them.
+    light = [f"v{rng.randrange(40)}" for _ in range(400)]
+    rows = [(v, f"u{i:04}", None) for i, v in enumerate(light + ["heavy"] * 25)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "a string, `odd.b` string, c string")
+    counts = Counter(r[0] for r in rows)
+    best = min(counts, key=lambda v: (-counts[v], v))
+    assert tuple(clean.modes(df, ["a", "`odd.b`", "c"], buckets, first).first()) == (best, "u0000", None)
+
+
+def test_modes_count_only_buckets_that_may_win(spark, monkeypatch):
+    """One clear winner: the other values are never counted one by one."""
+    asked = []
+    real = clean.materialize
+    monkeypatch.setattr(clean, "materialize", lambda df, label: asked.append(label) or real(df, label))
+    rows = [("top",)] * 500 + [(f"v{i}",) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a string")
+    assert clean.modes(df, ["a"]).first()[0] == "top"
+    assert asked.count("mode-winners") == 1
+    asked.clear()
+    rare = spark.createDataFrame([(f"v{i:04}",) for i in range(1000)], "a string")
+    assert clean.modes(rare, ["a"]).first()[0] == "v0000"
+    assert asked.count("mode-winners") == 2
+
+
+def test_modes_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a string, b string")
+    assert tuple(clean.modes(df, ["a", "b"]).first()) == (None, None)
+
+
 def test_clean_impute_order_of_steps(spark, rows):
     df = spark.createDataFrame(RAW, RAW_SCHEMA)
     out = clean.clean_impute(df, ["value"], ["kind"], "date", order_by=["id"])
