@@ -156,6 +156,29 @@ def test_scores_do_not_depend_on_how_many_words_are_sent(spark, documents):
                 assert math.isclose(other[k][name], one[name], rel_tol=1e-9), name
 
 
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark, documents, monkeypatch):
+    """Several blocks, copies and an order turned round: 1, 8 and 32 partitions give the same scores."""
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 10_000)
+    rows = documents + [(k + 10**6, t) for k, t in documents[:20]]
+    got = []
+    for n, some in ((1, rows), (8, rows[::-1]), (32, rows)):
+        docs = spark.createDataFrame(some, "doc_id bigint, text string").repartition(n)
+        got.append({r.doc_id: r.lm for r in lm.score(docs, docs.where(F.col("doc_id") % 5 != 1), rounds=2).collect()})
+    assert len(got[0]) == len(rows)
+    for other in got[1:]:
+        for k, one in got[0].items():
+            for name in ("score", "base_score", "attention_score"):
+                assert math.isclose(other[k][name], one[name], rel_tol=1e-5), name
+
+
+def test_a_block_lies_in_one_partition(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 100)
+    runs = spark.range(1000).select(F.col("id").cast("string").cast("binary").alias("run"), F.xxhash64("id").alias("h"))
+    placed = lm.in_blocks(runs, 950).select("block", F.spark_partition_id().alias("p"))
+    assert placed.distinct().count() == placed.select("block").distinct().count() == 10
+    assert lm.in_blocks(runs, 0).select("block").distinct().count() == 1
+
+
 def test_scores_of_held_out_documents_beat_the_counts(spark):
     got = [r for r in QUERIES["op1_lm_score"](spark, MEDIUM).collect() if r.held_out]
     assert all(remainder(r.doc_id, 5) == 1 for r in got)
