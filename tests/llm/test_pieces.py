@@ -69,6 +69,31 @@ def test_codec_equals_the_reference_library(data):
     assert own.decode(ids) == [own.text(x) for x in ids] == TEXTS
 
 
+@pytest.mark.parametrize("data", [pieces.model_bytes(pieces.DEFAULT_MODEL), unigram_model()], ids=["merges", "scores"])
+def test_any_ids_decode_as_by_the_full_decoder_and_markers_are_replaced_once_for_a_text(data):
+    own = codec(data)
+    rng = np.random.default_rng(5)
+    ids = [rng.integers(0, len(own.model.pieces), n).astype(np.int32) for n in (0, 1, 2, 7, 40, 300)]
+    ids += [rng.integers(0, 262, 50).astype(np.int32)]  # mostly bytes, which are no text
+    ids += [x for x, _ in own.encode(TEXTS)]
+    whole = own.whole.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+    assert own.decode(ids) == whole
+    assert own.plain.decode(own.encode(["a b"])[0][0].tolist()) == pieces.MARK + "a" + pieces.MARK + "b"  # the library leaves them
+
+
+def test_long_parts_are_not_remembered_and_short_ones_are_learnt_once(monkeypatch):
+    own = codec(pieces.model_bytes(pieces.DEFAULT_MODEL))
+    learn, seen = own.learn, []
+    monkeypatch.setattr(own, "learn", lambda parts: seen.extend(parts) or learn(parts))
+    long = "x" * (own.LONG + 1)
+    texts = [f"one two {long} one", f"two {long} three", ""]
+    first = own.encode(texts)
+    assert sorted(seen) == sorted({"one", "two", "three", long}) and long not in own.known
+    seen.clear()
+    again = own.encode(texts)
+    assert seen == [long] and [x.tolist() for x, _ in first] == [x.tolist() for x, _ in again] and all(s for _, s in again)
+
+
 def test_documents_survive_the_round_trip(spark, documents):
     data = pieces.model_bytes(pieces.DEFAULT_MODEL)
     other = sentencepiece.SentencePieceProcessor(model_proto=data)
