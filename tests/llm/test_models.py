@@ -236,6 +236,48 @@ def test_probabilities_of_the_next_class_sum_to_one():
     assert np.isclose(sum(10.0**x for x in last), 1, atol=1e-4)
 
 
+def by_loops(m, seq):
+    """log10 of the probability of each class of the sequence, position by position in double precision."""
+    w, size = {k: v.astype(float) for k, v in m.weights.items()}, attention.BLOCK
+    given, out = np.concatenate(([0], seq[:-1])).astype(int), []
+    for t in range(len(seq)):
+        block = t - t % size
+        seen = np.arange(max(0, block - size), t + 1)
+        heads = []
+        for h in range(attention.HEADS):
+            part = slice(h * attention.HEAD, (h + 1) * attention.HEAD)
+            s = w["key"][given[seen], part] @ w["query"][given[t], part] / attention.HEAD**0.5
+            s += w["place"][h][t - block, seen - (block - size)]
+            a = np.exp(s - s.max())
+            heads.append(a @ w["value"][given[seen], part] / a.sum())
+        hidden = np.maximum(np.concatenate(heads) @ w["mix"] + w["own"][given[t]] + w["bias"], 0)
+        y = hidden @ w["out"] + m.pairs[given[t]]
+        out.append((y[seq[t]] - y.max() - np.log(np.exp(y - y.max()).sum())) / np.log(10))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("scale", [1, 5, 30])
+def test_scores_equal_those_by_loops_however_large_the_affinities(scale):
+    m, rng = model(), np.random.default_rng(10)
+    m.weights["query"] = m.weights["query"] * np.float32(scale)
+    m.weights["key"] = m.weights["key"] * np.float32(scale)
+    seqs = [rng.integers(0, attention.CLASSES, n).astype(np.uint8) for n in (1, 17, 90)]
+    for s, got in zip(seqs, m.log10(seqs, [np.arange(1, len(s) + 1) for s in seqs], chunk=2)):
+        assert np.allclose(got, by_loops(m, s), atol=1e-4 * scale)
+    blocks = attention.blocks(seqs)
+    loss = m.gradients(*blocks[:-1], blocks[-1] < 0)[1]
+    assert math.isclose(loss, -np.mean(np.concatenate([by_loops(m, s) for s in seqs])) * np.log(10), rel_tol=1e-4 * scale)
+
+
+def test_scoring_takes_the_powers_of_affinities_once(monkeypatch):
+    """At each position only those of the classes to predict are taken."""
+    m, taken, exp = model(), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **b: taken.append(np.size(x)) or exp(x, *a, **b))
+    n = 20_000
+    m.log10([np.random.default_rng(12).integers(0, attention.CLASSES, n).astype(np.uint8)], [np.array([n])])
+    assert n * attention.CLASSES <= sum(taken) < n * attention.CLASSES + 100_000
+
+
 def test_gradients_of_attention_equal_differences():
     m, rng = model(), np.random.default_rng(9)
     given, wanted, scored, earlier, owner = attention.blocks([rng.integers(0, 12, 40).astype(np.uint8)])
