@@ -200,6 +200,75 @@ def test_every_word_of_every_training_text_is_trained_on():
         assert got == want
 
 
+def counted(codes, taken):
+    """``codes`` with a tokenizer that also notes how many texts it is given."""
+    library = codes.tokenizer
+    codes.tokenizer = SimpleNamespace(encode_batch_fast=lambda texts, **b: taken.append(len(texts)) or library.encode_batch_fast(texts, **b))
+    return codes
+
+
+def test_words_go_to_the_library_in_rows_and_have_the_ids_they_have_alone():
+    data, rnd = lm.model_bytes(lm.DEFAULT_MODEL), random.Random(4)
+    words = {"".join(rnd.choices("abcdeinorst", k=rnd.randint(1, 12))).encode() for _ in range(1500)}
+    words |= {"été".encode(), "日本語".encode(), "a😀b".encode(), b"\xff\xfe", b"a\x00b", b"x" * 300}
+    marked = [x.encode() for x in ("▁", "▁▁", "a▁", "▁a", "b▁▁c", "▁the▁")]
+    some = sorted(words)
+    for k, w in enumerate(marked):  # between others
+        some.insert(100 * k, w)
+    taken = []
+    codes = counted(lm.PieceCodes(data), taken)
+    codes.learn([*some, *some[:50]])
+    alone = codes.tokenizer.encode_batch_fast([lm.MARK + w.decode(errors="replace") for w in some])
+    assert {w: list(codes[w]) for w in codes} == {w: c.ids for w, c in zip(some, alone)}
+    assert sum(taken[:-1]) < len(some) / 10
+    codes.clear()
+    codes.learn([])
+    assert not codes
+
+
+def test_words_of_a_model_with_pieces_across_markers_go_alone(monkeypatch):
+    monkeypatch.setattr(lm.Model, "cuttable", False)
+    taken = []
+    codes = counted(lm.PieceCodes(lm.model_bytes(lm.DEFAULT_MODEL)), taken)
+    codes.learn([b"one", b"two", b"three"])
+    assert sum(taken) == 3 and set(codes) == {b"one", b"two", b"three"}
+
+
+@pytest.mark.parametrize("limit", [10, 1_000_000])
+def test_frequent_words_are_not_coded_again_in_training(monkeypatch, limit):
+    data = lm.model_bytes(lm.DEFAULT_MODEL)
+    class_of = np.arange(len(lm.Model.parse(data).pieces)) % 100 + 1
+    learnt, learn = [], lm.PieceCodes.learn
+    monkeypatch.setattr(lm.PieceCodes, "learn", lambda self, words: learnt.extend(words) or learn(self, words))
+    monkeypatch.setattr(lm.PieceCodes.__init__, "__defaults__", (3,))  # others are soon forgotten
+    texts = [b"often rare%d often the other%d" % (k, k) for k in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    sent = [SimpleNamespace(value=cloudpickle.dumps(x)) for x in (data, class_of, ([b"often", b"the", b""], [b"\x07\x08", b"\x09", b"\0"]))]
+    got = [r for b in lm.training_runs(iter([batch]), *sent, limit=limit) for r in b.column(0).to_pylist()]
+    assert {b"often", b"the", b""}.isdisjoint(learnt)
+    codes = lm.PieceCodes(data)
+    codes.limit = 1_000_000
+    codes.learn([w for t in texts for w in t.split()])
+    own = {w: bytes(class_of[i] for i in ids) for w, ids in codes.items()} | {b"often": b"\x07\x08", b"the": b"\x09"}
+    assert got == [b"".join(own[w] for w in t.split()) + b"\0" for t in texts]
+
+
+def test_scores_are_the_same_when_rare_words_are_forgotten():
+    data, texts = lm.model_bytes(lm.DEFAULT_MODEL), [b"the end of the %d days" % (k % 7) for k in range(30)]
+    n = len(lm.Model.parse(data).pieces)
+    corpus = lm.Corpus(100, 50, 10, np.arange(n) % 192, np.linspace(-5, -1, n), model().pairs, {b"the": 30, lm.END: 10, b"of": 9})
+    got = []
+    for limit in (0, 1_000_000):
+        scorer = lm.Scorer(corpus, model(), data).with_frequent()
+        scorer.prepare()
+        scorer.codes.limit = limit
+        got.append([r for t in texts for r in scorer.score([t])])
+        assert scorer.frequent == 3 and len(scorer.number) == len(scorer.coded) == len(scorer.size) == len(scorer.inner)
+    for one, other in zip(*got):
+        assert one[:2] == other[:2] == (7, 4) and one[5] == other[5] and len(one[5]) == len(one[6]) == 3
+        assert np.allclose([*one[2:5], *one[6]], [*other[2:5], *other[6]], rtol=1e-12)
+
+
 def test_the_network_has_its_full_size_and_half_the_weight():
     names = [lm.MARK + "a", "b", "é", lm.MARK + "é"] * 100
     found = lm.classes(np.arange(400, 0, -1.0), names)
